@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom import scale
 from medloom.functions.columns import SPACE, squeeze
-from medloom.llm import canonical, consensus, linkage, setjoin
+from medloom.llm import canonical, consensus, leakage, linkage, mixture, setjoin, textstats
 from medloom.tables import table
 
 #: What is written where a reason is missing, as letters and digits in lower case.
@@ -85,4 +85,38 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_matches(spark, folder).select("banned_id", "unofficial_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches}
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """The cases with the share of the item and of its slots."""
+    return leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_leaks(spark, folder).select("item_id", "doc_id")
+
+
+def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    documents = table(spark, folder, "documents").select("doc_id", mixture.source_key(F.col("source")).alias("source_key"), "text")
+    targets = table(spark, folder, "mix_targets")
+    return mixture.mixture(mixture.token_counts(documents, ["doc_id", "source_key"]), targets)
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder)[0]
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder)[1]
+
+
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return textstats.outlier_scores(table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return textstats.not_prose(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches,
+    "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics,
+}
