@@ -88,7 +88,8 @@ def similarity_join(values: DataFrame, references: DataFrame, threshold: float =
     # references are few and values distinct, but neither is broadcast unless Spark measures it small
     left = values.filter(F.col("v").isNotNull()).select(F.lit(0).alias("side"), F.lit(None).cast("bigint").alias("ref_id"), "v")
     right = references.filter(F.col("name").isNotNull()).select(F.lit(1).alias("side"), "ref_id", F.col("name").alias("v")).distinct()
-    sets = scale.materialize(left.unionAll(right).withColumn("tokens", letter_tokens(F.col("v"))).filter(F.size("tokens") > 0))
+    # filtered by the value, not by its tokens: a filter on tokens would be pushed down and tokenise every row
+    sets = scale.materialize(left.unionAll(right).filter(F.col("v") != "").withColumn("tokens", letter_tokens(F.col("v"))))
     exploded = sets.select("side", "ref_id", "v", F.explode("tokens").alias("token"))
     frequency = exploded.groupBy("token").agg(F.count("*").alias("df"))
     ordered = (
@@ -122,5 +123,5 @@ def map_to_list(rows: DataFrame, keep: list[str], value: str, references: DataFr
     exact = references.filter("main").select(F.col("name").alias(value)).distinct()
     typed = rows.filter(~F.col(value).rlike(r"^[\s\u00a0]*$")).join(F.broadcast(exact), value, "left_anti").select(*keep, normal_form(F.col(value)).alias("v"))
     names = references.select("ref_id", normal_form(F.col("name")).alias("name"))
-    found = scale.materialize(similarity_join(typed.select("v").distinct(), names, threshold))
+    found = scale.materialize(similarity_join(scale.materialize(typed.select("v").distinct()), names, threshold))
     return scale.lookup_join(typed, found.select("v", "ref_id"), ["v"]).select(*keep, F.coalesce("ref_id", F.lit(0)).alias("ref_id"))
