@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +27,25 @@ def is_drug_page(text: Column) -> Column:
     return (positive >= lexicon.PAGE_MIN_POSITIVE) & (hits(text, lexicon.PAGE_NEGATIVE) <= positive)
 
 
-def _first(name: Column, terms: list[str], words: bool) -> Column:
-    """The first term of the list that the name holds, as a whole word if asked."""
-    at = (lambda t: name.rlike(rf"\b{t}\b")) if words else (lambda t: F.contains(name, F.lit(t)))
-    return F.coalesce(*[F.when(at(t), F.lit(t)) for t in terms])
+_OFFICE = r"\b(?:" + "|".join(lexicon.OFFICE_WORDS) + r")\b"
+
+
+def _first_part(name: Column, terms: list[str]) -> Column:
+    """The first term of the list that the name holds anywhere."""
+    return F.coalesce(*[F.when(F.contains(name, F.lit(t)), F.lit(t)) for t in terms])
+
+
+def _first_word(name: Column) -> Column:
+    """The first office word of the list that the name holds as a whole word; one pattern decides whether to look for it."""
+    words = F.array(*[F.lit(w) for w in lexicon.OFFICE_WORDS])
+    return F.when(name.rlike(_OFFICE), F.get(F.filter(words, lambda w: F.regexp_like(name, F.concat(F.lit(r"\b"), w, F.lit(r"\b")))), F.lit(0)))
 
 
 def errors(name: Column, date: Column, as_of: Column) -> Column:
     """P4. What is wrong with a record, in the order of the rules; empty if nothing is."""
     low = F.lower(strip(name))
     quoted = F.concat(F.lit("'"), name, F.lit("'"))
-    part, word = _first(low, lexicon.JUNK_PARTS, False), _first(low, lexicon.OFFICE_WORDS, True)
+    part, word = _first_part(low, lexicon.JUNK_PARTS), _first_word(low)
     named = [
         F.when(low.isin(lexicon.NOT_NAMES), F.concat(F.lit("generic_name is blacklisted: "), quoted)),
         F.when(low.rlike(r"\.\w{2,4}$") & low.rlike(r"[/:]|www\."), F.concat(F.lit("generic_name looks like a URL: "), quoted)),
@@ -77,7 +83,6 @@ def validated(rows: DataFrame, as_of: Column) -> DataFrame:
 def is_junk(name: Column) -> Column:
     """P5. A stored name that is no medicine; null and blank names are junk."""
     low = F.lower(strip(name))
-    word = reduce(lambda a, b: a | b, [low.rlike(rf"\b{w}\b") for w in lexicon.OFFICE_WORDS])
     bad = (
         low.isin(lexicon.NOT_NAMES)
         | low.rlike(r"^[\w\-]+\.\w{2,6}$")
@@ -85,7 +90,7 @@ def is_junk(name: Column) -> Column:
         | any_of(low, lexicon.JUNK_SITES)
         | (F.char_length(low) < 3)
         | low.rlike(r"^[0-9\s.,%]+$")
-        | word
+        | low.rlike(_OFFICE)
         | low.rlike(_ARCHIVE)
     )
     return F.coalesce(bad, F.lit(True))

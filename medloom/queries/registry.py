@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.queries import curation, text_ops
+from medloom.queries import curation, records, text_ops
 
-_MODULES = (curation, text_ops)
+_MODULES = (curation, text_ops, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -40,9 +40,12 @@ def read_pdfs(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "content", is_pdf(F.col("content")).alias("is_pdf"))
 
 
-@F.pandas_udf("string")
-def pdf_text(contents: pd.Series) -> pd.Series:
+def pdf_text(content: Column) -> Column:
     """S11-S13. Text of PDFs by the first library at hand that finds any: pdfplumber, then pypdf; null without either."""
+    return F.pandas_udf(_pdf_texts, "string")(content)
+
+
+def _pdf_texts(contents: pd.Series) -> pd.Series:
 
     def plumber(content: bytes) -> str | None:
         import pdfplumber

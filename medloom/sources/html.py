@@ -104,15 +104,21 @@ _PAGE = (
 )
 
 
-@F.pandas_udf(_PAGE)
-def parsed_page(pages: pd.Series) -> pd.DataFrame:
+def parsed_page(html: Column) -> Column:
     """The struct of read_page for a column of HTML."""
+    return F.pandas_udf(_read_pages, _PAGE)(html)
+
+
+def _read_pages(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([read_page(p) for p in pages], columns=["rows", "items", "links"])
 
 
-@F.pandas_udf("string")
-def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
+def absolute_url(base: Column, href: Column) -> Column:
     """A link as seen from the page it stands on; null if either is null or the link can't be read."""
+    return F.pandas_udf(_absolute_urls, "string")(base, href)
+
+
+def _absolute_urls(base: pd.Series, href: pd.Series) -> pd.Series:
 
     def join(b: str | None, h: str | None) -> str | None:
         try:
