@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medloom.queries import curation, records, text_ops
+from medloom.queries import curation, pages, pipelines, records, text_ops
 
-_MODULES = (curation, text_ops, records)
+_MODULES = (curation, text_ops, records, pages, pipelines)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

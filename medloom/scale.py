@@ -84,8 +84,10 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "
 
 def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", salts: int = 32) -> DataFrame:
     """The shuffled form of lookup_join."""
-    hot = F.broadcast(hot_keys(rows, keys).withColumn("__hot", F.lit(True)))
-    spread = rows.join(hot, keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.floor(F.rand(7) * salts).cast("int")).otherwise(0)).drop("__hot")
+    hot = F.broadcast(hot_keys(rows, keys).withColumn("__hot", F.lit(True)))  # at most 1 / share rows
+    # the salt is a function of the row, so a task that runs again puts its rows where they were
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int")
+    spread = rows.withColumn("__salt", salt).join(hot, keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.col("__salt")).otherwise(0)).drop("__hot")
     copies = (
         table.join(hot, keys, "left")
         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
