@@ -22,7 +22,7 @@ from medloom.functions.columns import squeeze
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BLOCK_TOKENS, CHUNK, BITS = 2_048, 1 << 16, 52
+BLOCK_TOKENS, CHUNK, BITS = 512, 1 << 16, 52
 
 
 def source_key(source: Column) -> Column:
@@ -78,8 +78,10 @@ def mixture(documents: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_
     weight = sum(r["target_share"] for r in present)
     size = min((r["max_repeats"] * held[r["source"]][0] / (r["target_share"] / weight) for r in present), default=0.0)
 
-    # shuffled documents of a source in blocks of equal tokens
-    place = scale.with_offsets(rows.withColumn("h", F.xxhash64("doc_id")), ["source"], ["h", "doc_id"], F.col("n_tokens"), bucket=F.shiftrightunsigned("h", 58))
+    # shuffled documents of a source in blocks of equal tokens; parts of the hash range bound what one task sums
+    parts = max(64, -(-sum(d for _, d in held.values()) // CHUNK))
+    shuffled = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("h", F.shiftrightunsigned("h", 1))
+    place = scale.with_offsets(shuffled, ["source"], ["h", "doc_id"], F.col("n_tokens"), bucket=F.floor(F.col("h") / F.lit(float(1 << 63)) * parts))
     blocks = place.select("source", "doc_id", "n_tokens", F.floor(F.col("start") / block_tokens).alias("block"))
     n_blocks = {s: max(1, -(-t // block_tokens)) for s, (t, _) in held.items()}
 
