@@ -30,14 +30,15 @@ _VOWEL = re.compile(r"[aeiouyáéíóúüñ\dऀ-෿]")
 
 
 def cells(line: str) -> tuple[str, int]:
-    """What parts the cells of a line, and their number: three at least, else ('', 1)."""
+    """What parts the cells of a line, and their number: three at least, else ('', 1). Framed rows count as three at least."""
     if "<" in line and _ROW.search(line):
         return "t", max(3, line.lower().count("<td") + line.lower().count("<th"))
     if line.count("\t") >= 2:
         return "\t", line.count("\t") + 1
     s = line.strip()
     if s.count("|") >= 2:
-        return "|", s.strip("|").count("|") + 1
+        framed = s[0] == "|" and s[-1] == "|"
+        return "|", max(3, s.strip("|").count("|") + 1) if framed else s.strip("|").count("|") + 1
     gaps = len(_GAPS.findall(s))
     if gaps >= 2:
         return " ", gaps + 1
@@ -51,20 +52,18 @@ def line_kind(line: str, tabular: set[tuple[str, int]]) -> str:
     s = line.strip()
     words = [w.lower() for w in _WORD.findall(s)]
     n = len(words)
+    shape = cells(line) if tabular else ("", 1)
     if not n:
-        return "junk"
-    if sum(map(NAVIGATION.__contains__, words)) >= 0.75 * n or _PAGE.match(s):
+        return "table" if shape in tabular else "junk"
+    if sum(map(NAVIGATION.__contains__, words)) >= 0.75 * n or _PAGE.match(s) or ("{" in s and _CODE.search(s)):
         return "junk"
     function = sum(map(FUNCTION_WORDS.__contains__, words))
-    shape = cells(line) if tabular else ("", 1)
     if shape in tabular and (shape[0] in "t\t|" or function < 0.12 * n):
         return "table"
     bullet = _BULLET.match(line) is not None
     varied = len(set(words))
     if function >= 0.12 * n and not bullet and (n < 12 or varied >= 0.4 * n):
         return "prose"
-    if _CODE.search(s):
-        return "junk"
     if bullet and function >= 0.2 * n and n >= 8:
         return "prose"
     inked = len(s) - s.count(" ") - s.count("\t")
