@@ -20,25 +20,31 @@ def _without(text: Column, part: Column) -> Column:
     return F.when(part.isNull(), text).otherwise(strip(F.regexp_replace(text, F.concat(F.lit(r"(?i)\Q"), part, F.lit(r"\E")), F.lit(""))))
 
 
-def _entry(line: Column, serial: bool) -> Column:
-    form, strength = extract_form(line), extract_strength(line)
-    name = strip(F.regexp_replace(_without(_without(line, form), strength), r"[()\[\]{}]", ""))
-    if serial:
-        name = F.regexp_replace(name, r"^\d+\s*[.\)]\s*", "")
-    name = F.regexp_replace(squeeze(name), "[.,;:-]+$", "")
-    return F.struct(name.alias("generic_name"), form.alias("dosage_form"), strength.alias("strength"), line.alias("raw_text"))
+def _entries(lines: Column, serial: bool) -> Column:
+    """array<entry> of lines. Each step is a transform of its own, so that form and strength are extracted once a line."""
+    parts = F.transform(lines, lambda x: F.struct(x.alias("line"), extract_form(x).alias("form"), extract_strength(x).alias("strength")))
+    cut = F.transform(parts, lambda p: F.struct(p["line"].alias("line"), p["form"].alias("form"), p["strength"].alias("strength"), _without(p["line"], p["form"]).alias("rest")))
+
+    def entry(p: Column) -> Column:
+        name = strip(F.regexp_replace(_without(p["rest"], p["strength"]), r"[()\[\]{}]", ""))
+        if serial:
+            name = F.regexp_replace(name, r"^\d+\s*[.\)]\s*", "")
+        name = F.regexp_replace(squeeze(name), "[.,;:-]+$", "")
+        return F.struct(name.alias("generic_name"), p["form"].alias("dosage_form"), p["strength"].alias("strength"), p["line"].alias("raw_text"))
+
+    return F.transform(cut, entry)
 
 
 def numbered_rows(text: Column) -> Column:
     """T1. array<entry> of the lines that begin with a number and . or )."""
     lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^\s*(\d{1,4})\s*[.\)]\s*(.+)"), F.lit(2)), strip), lambda x: F.char_length(x) >= 3)
-    return F.filter(F.transform(lines, lambda x: _entry(x, False)), lambda e: e["generic_name"] != "")
+    return F.filter(_entries(lines, False), lambda e: e["generic_name"] != "")
 
 
 def combination_lines(text: Column) -> Column:
     """T2. array<entry> of the lines with a + between two words."""
     lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^.*?\b\w+\s*\+\s*\w+.*$"), F.lit(0)), strip), lambda x: F.char_length(x) >= 5)
-    return F.filter(F.transform(lines, lambda x: _entry(x, True)), lambda e: F.contains(e["generic_name"], F.lit("+")))
+    return F.filter(_entries(lines, True), lambda e: F.contains(e["generic_name"], F.lit("+")))
 
 
 def paragraph_names(text: Column) -> Column:
@@ -47,8 +53,9 @@ def paragraph_names(text: Column) -> Column:
     names = lambda s: F.filter(
         F.regexp_extract_all(s, F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b"), F.lit(1)), lambda n: (F.char_length(n) >= 4) & ~n.isin(lexicon.PLAIN_CAPITALS)
     )
-    entry = lambda s, n: F.struct(n.alias("generic_name"), extract_form(s).alias("dosage_form"), extract_strength(s).alias("strength"), F.substring(s, 1, 500).alias("raw_text"))
-    return F.flatten(F.transform(sentences, lambda s: F.transform(names(s), lambda n: entry(s, n))))
+    each = F.transform(sentences, lambda s: F.struct(extract_form(s).alias("form"), extract_strength(s).alias("strength"), F.substring(s, 1, 500).alias("raw"), names(s).alias("names")))
+    entry = lambda x, n: F.struct(n.alias("generic_name"), x["form"].alias("dosage_form"), x["strength"].alias("strength"), x["raw"].alias("raw_text"))
+    return F.flatten(F.transform(F.filter(each, lambda x: F.size(x["names"]) > 0), lambda x: F.transform(x["names"], lambda n: entry(x, n))))
 
 
 def entries(documents: DataFrame) -> DataFrame:
@@ -57,18 +64,19 @@ def entries(documents: DataFrame) -> DataFrame:
     Numbered rows and those combinations they don't hold; only without both, paragraph names, which need review; only
     without any, one placeholder. A null text gives the placeholder of an unreadable file.
     """
-    rows = documents.select("doc_id", "text", numbered_rows(F.col("text")).alias("t1"), combination_lines(F.col("text")).alias("t2"))
-    seen = F.transform("t1", lambda e: F.lower(e["generic_name"]))
-    both = F.concat("t1", F.filter("t2", lambda e: ~F.array_contains(seen, F.lower(e["generic_name"]))))
+    # the document's own values are found before its entries are exploded, once a document
+    rows = documents.select(
+        "doc_id", "text", numbered_rows(F.col("text")).alias("t1"), combination_lines(F.col("text")).alias("t2"),
+        extract_number(F.col("text")).alias("notification_number"), extract_date(F.col("text")).alias("notification_date"), extract_reason(F.col("text")).alias("ban_reason"),
+    ).withColumn("seen", F.transform("t1", lambda e: F.lower(e["generic_name"])))
+    both = F.concat("t1", F.filter("t2", lambda e: ~F.array_contains(F.col("seen"), F.lower(e["generic_name"]))))
     rows = rows.withColumn("sure", both).withColumn("guessed", F.when(F.size("sure") == 0, paragraph_names(F.col("text"))).otherwise(F.array().cast(rows.schema["t1"].dataType)))
     nothing = F.struct(F.when(F.col("text").isNull(), F.lit(UNREADABLE)).otherwise(F.lit(NO_ENTRIES)).alias("generic_name"), F.lit(None).cast("string").alias("dosage_form"), F.lit(None).cast("string").alias("strength"), F.substring("text", 1, 2000).alias("raw_text"))
     listed = F.when(F.size("sure") > 0, F.col("sure")).when(F.size("guessed") > 0, F.col("guessed")).otherwise(F.array(nothing))
     status = F.when(F.size("sure") > 0, F.lit("ok")).otherwise(F.lit("needs_review"))
-    rows = rows.select(
-        "doc_id", status.alias("parsing_status"), extract_number(F.col("text")).alias("notification_number"), extract_date(F.col("text")).alias("notification_date"),
-        extract_reason(F.col("text")).alias("ban_reason"), F.posexplode(listed).alias("pos", "e"),
-    )
-    return rows.select("doc_id", "pos", "e.*", "parsing_status", "notification_number", "notification_date", F.when(~F.col("e.generic_name").isin(NO_ENTRIES, UNREADABLE), F.col("ban_reason")).alias("ban_reason"))
+    rows = rows.select("doc_id", status.alias("parsing_status"), "notification_number", "notification_date", "ban_reason", F.posexplode(listed).alias("pos", "e"))
+    reason = F.when(~F.col("e.generic_name").isin(NO_ENTRIES, UNREADABLE), F.col("ban_reason"))
+    return rows.select("doc_id", "pos", "e.*", "parsing_status", "notification_number", "notification_date", reason.alias("ban_reason"))
 
 
 def routed_entries(parsed: DataFrame) -> DataFrame:

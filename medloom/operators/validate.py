@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,12 @@ def is_drug_page(text: Column) -> Column:
 _OFFICE = r"\b(?:" + "|".join(lexicon.OFFICE_WORDS) + r")\b"
 
 
+#: Whatever one of the rules on names may object to; most names pass by this one pattern.
+_SUSPECT = (
+    r"^.{0,2}$|^[0-9\s.,%]+$|\.\w{2,6}$|" + _ARCHIVE + "|^(?:" + "|".join(re.escape(t) for t in lexicon.NOT_NAMES) + ")$|" + "|".join(re.escape(t) for t in lexicon.JUNK_PARTS) + "|" + _OFFICE
+)
+
+
 def _first_part(name: Column, terms: list[str]) -> Column:
     """The first term of the list that the name holds anywhere."""
     return F.coalesce(*[F.when(F.contains(name, F.lit(t)), F.lit(t)) for t in terms])
@@ -57,9 +65,9 @@ def errors(name: Column, date: Column, as_of: Column) -> Column:
         F.when(low.rlike(_ARCHIVE), F.concat(F.lit("generic_name matches archive label pattern: "), quoted)),
     ]
     empty = F.coalesce(low == "", F.lit(True))
-    late = F.when(date > as_of, F.concat(F.lit("notification_date is in the future: "), date.cast("string")))
-    found = F.array(F.when(empty, F.lit("generic_name is empty")), *[F.when(~empty, e) for e in named], late)
-    return F.filter(found, lambda e: e.isNotNull())
+    late = F.when(date > as_of, F.array(F.concat(F.lit("notification_date is in the future: "), date.cast("string")))).otherwise(F.array().cast("array<string>"))
+    wrong = F.when(empty, F.array(F.lit("generic_name is empty"))).when(low.rlike(_SUSPECT), F.filter(F.array(*named), lambda e: e.isNotNull())).otherwise(F.array().cast("array<string>"))
+    return F.concat(wrong, late)
 
 
 def warnings(form: Column, number: Column) -> Column:

@@ -106,7 +106,8 @@ _PAGE = (
 
 def parsed_page(html: Column) -> Column:
     """The struct of read_page for a column of HTML."""
-    return F.pandas_udf(_read_pages, _PAGE)(html)
+    # marked so that no filter on its result is pushed below it, which would read every page twice
+    return F.pandas_udf(_read_pages, _PAGE).asNondeterministic()(html)
 
 
 def _read_pages(pages: pd.Series) -> pd.DataFrame:
@@ -115,7 +116,7 @@ def _read_pages(pages: pd.Series) -> pd.DataFrame:
 
 def absolute_url(base: Column, href: Column) -> Column:
     """A link as seen from the page it stands on; null if either is null or the link can't be read."""
-    return F.pandas_udf(_absolute_urls, "string")(base, href)
+    return F.pandas_udf(_absolute_urls, "string").asNondeterministic()(base, href)
 
 
 def _absolute_urls(base: pd.Series, href: pd.Series) -> pd.Series:
