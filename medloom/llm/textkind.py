@@ -61,8 +61,8 @@ def line_kind(line: str, tabular: set[tuple[str, int]]) -> str:
     if shape in tabular and (shape[0] in "t\t|" or function < 0.12 * n):
         return "table"
     bullet = _BULLET.match(line) is not None
-    varied = len(set(words))
-    if function >= 0.12 * n and not bullet and (n < 12 or varied >= 0.4 * n):
+    # one phrase over and over is no prose; long prose repeats words, but few pairs of them
+    if function >= 0.12 * n and not bullet and (n < 12 or len(set(zip(words, words[1:]))) >= 0.15 * n):
         return "prose"
     if bullet and function >= 0.2 * n and n >= 8:
         return "prose"
@@ -74,7 +74,7 @@ def line_kind(line: str, tabular: set[tuple[str, int]]) -> str:
         return "junk"
     if n >= 8 and sum(1 for w in words if not _VOWEL.search(w) or (not w.isalpha() and not w.isdigit() and any(c.isdigit() for c in w) and any(c.isalpha() for c in w))) > 0.25 * n:
         return "junk"
-    if n >= 12 and varied < 0.4 * n:
+    if n >= 12 and len(set(words)) < 0.4 * n:
         return "junk"
     if n >= 12 and not bullet and len(_SEPARATOR.findall(s)) < 0.1 * n:
         return "prose" if function >= 0.08 * n else "junk"
