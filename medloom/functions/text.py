@@ -122,9 +122,14 @@ def _as_date(day: Column, month: Column, year: Column, form: str) -> Column:
     return F.try_to_timestamp(F.concat_ws("/", day, F.initcap(month), year), F.lit(form)).cast("date")
 
 
-def extract_date(text: Column) -> Column:
-    """X2. By pattern, not by place: the first match of the first pattern that gives a date."""
-    return F.coalesce(*[F.when(text.rlike(p), _as_date(F.regexp_extract(text, p, d), F.regexp_extract(text, p, m), F.regexp_extract(text, p, y), f)) for p, d, m, y, f in DATES])
+def extract_date(text: Column, any_ordinal: bool = False) -> Column:
+    """X2. By pattern, not by place: the first match of the first pattern that gives a date.
+
+    Ordinals count in small letters only ('10th', not '10TH'), unless ``any_ordinal``.
+    """
+    one = lambda p, d, m, y, f: _as_date(F.regexp_extract(text, p, d), F.regexp_extract(text, p, m), F.regexp_extract(text, p, y), f)
+    fits = lambda p: text.rlike(p) if any_ordinal or "st|nd" not in p else F.regexp_extract(text, p, 0).rlike("[0-9](?:st|nd|rd|th)")
+    return F.coalesce(*[F.when(fits(p), one(p, d, m, y, f)) for p, d, m, y, f in DATES])
 
 
 def parse_date(text: Column) -> Column:
@@ -140,7 +145,7 @@ def parse_number_and_date(text: Column) -> Column:
     """X4. struct<number, date> of a text such as 'GSR NO. 578(E) Dated 23.07.1983'."""
     t = squeeze(text)
     number = lambda series, p: F.concat(F.lit(series), found(t, p.replace(r"(\d+)", r"(?:NO\.?)?\s*(\d+)"), 1), F.lit("(E)"))
-    return F.struct(F.coalesce(number("G.S.R. ", GSR), number("S.O. ", SO)).alias("number"), extract_date(t).alias("date"))
+    return F.struct(F.coalesce(number("G.S.R. ", GSR), number("S.O. ", SO)).alias("number"), extract_date(t, any_ordinal=True).alias("date"))
 
 
 def extract_form(text: Column) -> Column:

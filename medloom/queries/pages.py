@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom import lexicon
 from medloom.operators import links
-from medloom.queries.text_ops import sql_extract_date, sql_squeeze, sql_strip
+from medloom.queries.text_ops import sql_extract_date, sql_strip
 from medloom.sources.html import pages
 from medloom.tables import table
 
@@ -104,7 +104,7 @@ _DATED = "'GSR NO. ' || id || '(E) Dated ' || coalesce(strftime(notification_dat
 _ROW = f"CAST(id AS VARCHAR) AS url, {_NAME} AS generic_name, 'G.S.R. ' || id || '(E)' AS number, {sql_extract_date(_DATED)} AS date FROM unofficial_medicines WHERE {_NAME} <> '' AND NOT contains(lower(generic_name), 'drugs name')"
 _BASE = "regexp_extract(source_url, '^(https?://[^/]+)', 1)"
 _PAGES = "SELECT DISTINCT source_url, id FROM banned_medicines WHERE source_url IS NOT NULL"
-_ITEM = rf"{sql_strip(sql_squeeze("regexp_replace(generic_name, '[-–—:]', ' ', 'g')"))}"
+_ITEM = rf"""regexp_replace({sql_strip("regexp_replace(generic_name, '[-–—:]', ' ', 'g')")}, '\.+$', '')"""
 _WORDS = "[" + ", ".join(f"'{w}'" for w in lexicon.ALERT_WORDS) + "]"
 _LINK = "lower('Drug recall alert alerts')"
 _SCORE = f"""CAST(len(list_filter({_WORDS}, lambda w: contains({_LINK}, w))) + CASE WHEN regexp_matches({_LINK}, 'nsq|recall|substandard') THEN 3 ELSE 0 END
@@ -113,6 +113,13 @@ _SCORE = f"""CAST(len(list_filter({_WORDS}, lambda w: contains({_LINK}, w))) + C
 SQL = {
     "ref_s1_first_table": f"SELECT {_ROW}",
     "ref_s2_all_tables": rf"SELECT {_ROW} UNION ALL SELECT CAST(id AS VARCHAR), regexp_replace({sql_strip('dosage_form')}, '\.+$', ''), NULL, NULL FROM unofficial_medicines WHERE regexp_replace({sql_strip('dosage_form')}, '\.+$', '') <> ''",
+    "ref_s3_list_or_table": f"""
+        SELECT CAST(id AS VARCHAR) AS url, CASE WHEN id % 5 = 0 THEN 'substance ' || id ELSE {_ITEM} END AS generic_name, CASE WHEN id % 5 > 0 THEN 'G.S.R. ' || id || '(E)' END AS number,
+          CASE WHEN id % 5 > 0 THEN {sql_extract_date(_DATED)} END AS date FROM ayush_fssai_medicines""",
+    "ref_s4_table_or_list": "SELECT CAST(id AS VARCHAR) AS url, 'substance ' || id AS generic_name FROM ayush_fssai_medicines",
+    "ref_s9_ban_links_around": f"""
+        SELECT DISTINCT target, pos FROM (SELECT {_BASE} AS b, source_url FROM banned_medicines WHERE source_url IS NOT NULL),
+          LATERAL (VALUES (source_url || '#top', 0), ('mailto:x@y.example', 1), (b || '/get/download_file?x=1', 3), (b || '/n/alerts', 4), (b || '/n/about', 5)) t(target, pos)""",
     "ref_s5_pdf_links": f"SELECT source_url AS url, {_BASE} || '/files/' || id || '.PDF' AS target, 'Orderofban' AS text, 't' AS title FROM banned_medicines WHERE source_url IS NOT NULL",
     "ref_s6_numbered_links": """
         SELECT source_url AS url, 2 AS pos, 'G.S.R. ' || id || '(E)' AS number, 'Orderofban' AS label FROM banned_medicines WHERE source_url IS NOT NULL

@@ -330,6 +330,82 @@ def ref_k6_file_names(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").filter("url is not null").select("doc_id", F.concat(safe_file_name(F.col("url")), F.lit(".pdf")).alias("file_name"))
 
 
+# ---- the rest of the inventory
+
+
+def ref_p2_document_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Blank lines part the pages of a text here; a product word must stand on one of the first three."""
+    rows = table(spark, folder, "documents").filter("text is not null")
+    return rows.select("doc_id", validate.is_drug_document(F.split("text", "\n\n"), ["tablet", "recall", "batch", "licence"]).alias("is_drug_document"))
+
+
+def ref_p8_delete_ids(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "unofficial_medicines").select("id", "generic_name")
+    bad = rows.filter("length(generic_name) > 60").select("id")
+    return rows.join(bad, "id", "left_anti")
+
+
+def ref_f13_record(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "banned_medicines").drop("id", "date_added", "last_updated", "is_fdc").withColumns({c: F.array_join(c, ", ") for c in ("brand_names", "ingredients")})
+
+
+def ref_k3_backup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "notifications_processed")
+    return rows.select(F.to_json(F.struct("id", "notification_number", "notification_date", "download_status"), {"ignoreNullFields": "false"}).alias("line"))
+
+
+def ref_j8_only_combinations(spark: SparkSession, folder: str) -> DataFrame:
+    """Multi-ingredient official names of a notification that no listing of it has."""
+    key = lambda n: table(spark, folder, n).select(normalize_number(F.col("notification_number")).alias("number"), F.lower(strip(F.col("generic_name"))).alias("name"))
+    return key("banned_medicines").filter("contains(name, '+') and number is not null").distinct().join(key("unofficial_medicines"), ["number", "name"], "left_anti")
+
+
+def ref_a7_grouped(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "ayush_fssai_medicines").select(normalize_number(F.col("notification_number")).alias("number"), "generic_name", "id")
+    return dedup.collected_distinct(rows.filter("number is not null"), ["number"], "generic_name", ["id"]).select("number", F.array_join("values", " | ").alias("names"))
+
+
+def ref_m4_source_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Files named by the official rows, the later half upserted over the earlier."""
+    rows = table(spark, folder, "banned_medicines").filter("source_pdf is not null").select("id", F.col("source_pdf").alias("file_name"), "source_url", "notification_date", "date_added", "last_updated")
+    target = dedup.first_wins(rows.filter("id % 2 = 0"), F.col("file_name"), "id")
+    out = merge.upsert(target, rows.filter("id % 2 = 1").withColumn("seq", F.col("id")), ["file_name"], ["source_url", "notification_date"], "seq", F.lit(NOW).cast("timestamp"))
+    return out.select("file_name", "source_url", "notification_date", "outcome")
+
+
+def ref_m12_health(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql("SELECT 1 AS one")
+
+
+def ref_o3_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "ayush_fssai_medicines").select("id", "generic_name").orderBy("id")
+
+
+def ref_o4_sorted_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "notifications_processed").select(normalize_number(F.col("notification_number")).alias("number")).filter("number is not null").distinct().orderBy("number")
+
+
+def ref_o7_processed_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 25 notifications that have a file, by a running count in parts; those without don't count."""
+    from medloom.scale import with_offsets
+
+    rows = table(spark, folder, "notifications_processed").select("id", F.col("pdf_path").isNotNull().cast("bigint").alias("has"))
+    counted = with_offsets(rows.withColumn("g", F.lit(0)), ["g"], ["id"], F.col("has"), bucket=F.floor(F.col("id") / 64))
+    return counted.filter("has = 1 and start < 25").select("id")
+
+
+def ref_o8_first(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "unofficial_medicines").filter("dosage_form = 'Tablet'").groupBy().agg(F.min_by("generic_name", "id").alias("name"), F.min("id").alias("id"))
+
+
+def ref_u2_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("source", "lang").distinct()
+
+
+def ref_c6_pending(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "notifications_processed").filter("parsing_status = 'pending'").select("id", "notification_number", "download_status")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("ref_")}
 
 _LOW = sql_strip("lower(generic_name)")
@@ -485,3 +561,30 @@ SQL = {
     "ref_k6_file_names": r"SELECT doc_id, substring(regexp_replace(regexp_replace(url, '[<>:\x22/\\|?*]', '_', 'g'), '\s+', '_', 'g'), 1, 200) || '.pdf' AS file_name FROM documents WHERE url IS NOT NULL",
 }
 SQL["ref_r2_validity"] = f"SELECT is_valid, count(*) AS n, CAST(sum(CASE WHEN errors = '' THEN 0 ELSE len(string_split(errors, ' ; ')) END) AS BIGINT) AS n_errors FROM ({SQL['ref_p4_validate']}) GROUP BY 1"
+SQL |= {
+    "ref_p2_document_filter": f"SELECT doc_id, len(list_filter(string_split(text, chr(10) || chr(10))[1:3], lambda p: {_sql_any('p', ['tablet', 'recall', 'batch', 'licence'])})) > 0 AS is_drug_document FROM documents WHERE text IS NOT NULL",
+    "ref_p8_delete_ids": "SELECT id, generic_name FROM unofficial_medicines WHERE NOT coalesce(length(generic_name) > 60, false)",
+    "ref_f13_record": """
+        SELECT generic_name, array_to_string(brand_names, ', ') AS brand_names, dosage_form, strength, notification_number, notification_date, ban_reason, source_pdf, array_to_string(ingredients, ', ') AS ingredients, source_url
+        FROM banned_medicines""",
+    "ref_k3_backup": "SELECT CAST(to_json({'id': id, 'notification_number': notification_number, 'notification_date': notification_date, 'download_status': download_status}) AS VARCHAR) AS line FROM notifications_processed",
+    "ref_j8_only_combinations": f"""
+        WITH o AS (SELECT DISTINCT {sql_number('notification_number')} AS number, {_LOW} AS name FROM banned_medicines), l AS (SELECT {sql_number('notification_number')} AS number, {_LOW} AS name FROM unofficial_medicines)
+        SELECT number, name FROM o WHERE contains(name, '+') AND number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM l WHERE l.number = o.number AND l.name = o.name)""",
+    "ref_a7_grouped": f"""
+        SELECT number, string_agg(generic_name, ' | ' ORDER BY o) AS names FROM (SELECT {sql_number('notification_number')} AS number, generic_name, min(id) AS o FROM ayush_fssai_medicines WHERE generic_name IS NOT NULL GROUP BY ALL)
+        WHERE number IS NOT NULL GROUP BY 1""",
+    "ref_m4_source_documents": f"""
+        WITH r AS (SELECT id, source_pdf AS file_name, source_url, notification_date FROM banned_medicines WHERE source_pdf IS NOT NULL),
+        t AS (SELECT * FROM r WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY id) = 1),
+        s AS (SELECT file_name, {_sql_last('source_url')} AS source_url, {_sql_last('notification_date')} AS notification_date FROM r WHERE id % 2 = 1 GROUP BY 1)
+        SELECT coalesce(t.file_name, s.file_name) AS file_name, coalesce(s.source_url, t.source_url) AS source_url, coalesce(s.notification_date, t.notification_date) AS notification_date,
+          CASE WHEN t.file_name IS NULL THEN 'inserted' WHEN s.file_name IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome FROM t FULL JOIN s ON t.file_name = s.file_name""",
+    "ref_m12_health": "SELECT 1 AS one",
+    "ref_o3_by_id": "SELECT id, generic_name FROM ayush_fssai_medicines ORDER BY id",
+    "ref_o4_sorted_numbers": f"SELECT DISTINCT {sql_number('notification_number')} AS number FROM notifications_processed WHERE number IS NOT NULL ORDER BY 1",
+    "ref_o7_processed_first": "SELECT id FROM notifications_processed WHERE pdf_path IS NOT NULL ORDER BY id LIMIT 25",
+    "ref_o8_first": "SELECT arg_min(generic_name, id) AS name, min(id) AS id FROM unofficial_medicines WHERE dosage_form = 'Tablet'",
+    "ref_u2_distinct": "SELECT DISTINCT source, lang FROM documents",
+    "ref_c6_pending": "SELECT id, notification_number, download_status FROM notifications_processed WHERE parsing_status = 'pending'",
+}

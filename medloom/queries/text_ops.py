@@ -80,9 +80,10 @@ _DATES = [
 ]
 
 
-def sql_extract_date(c: str) -> str:
+def sql_extract_date(c: str, any_ordinal: bool = True) -> str:
+    fits = lambda p: "TRUE" if any_ordinal or "st|nd" not in p else f"regexp_matches(regexp_extract({c}, '{p}', 0, 'i'), '[0-9](?:st|nd|rd|th)')"
     one = lambda p, d, m, y, f: f"CAST(try_strptime({sql_extract(c, p, d)} || '/' || {sql_extract(c, p, m)} || '/' || {sql_extract(c, p, y)}, '{f}') AS DATE)"
-    return "coalesce(" + ", ".join(one(*x) for x in _DATES) + ")"
+    return "coalesce(" + ", ".join(f"CASE WHEN {fits(x[0])} THEN {one(*x)} END" for x in _DATES) + ")"
 
 
 _DATE_FORMS = ["yyyy-MM-dd", "dd-MM-yyyy", "dd.MM.yyyy", "dd/MM/yyyy", "MMMM dd, yyyy", "dd MMMM yyyy", "MMM dd, yyyy", "dd MMM yyyy"]
@@ -223,7 +224,7 @@ SQL = {
     "ref_f12_truncate": "SELECT doc_id, substring(text, 1, 500) AS head FROM documents",
     "ref_f14_iso_date": "SELECT id, strftime(notification_date, '%Y-%m-%d') AS iso FROM banned_medicines",
     "ref_x1_extract_number": f"SELECT doc_id, {sql_extract_number('text')} AS number FROM documents",
-    "ref_x2_extract_date": f"SELECT doc_id, {sql_extract_date('text')} AS dated FROM documents",
+    "ref_x2_extract_date": f"SELECT doc_id, {sql_extract_date('text', False)} AS dated FROM documents",
     "ref_x3_parse_date": f"""
         WITH w AS (SELECT id, {_SQL_WRITTEN} AS t FROM banned_medicines WHERE notification_date IS NOT NULL)
         SELECT id, CAST(coalesce({', '.join(f"try_strptime(t, '{f}')" for f in _SQL_DATE_FORMS)}, try_strptime(nullif(regexp_extract(t, '\\d{{1,2}}[-./]\\d{{1,2}}[-./]\\d{{4}}'), ''), '%d/%m/%Y')) AS DATE) AS parsed FROM w""",

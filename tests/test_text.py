@@ -69,7 +69,7 @@ def test_number_and_date(spark, given, number, date):
 
 @pytest.mark.parametrize(
     ("given", "expected"),
-    [("dated 10/09/2018 x", dt.date(2018, 9, 10)), ("on 5 March 2019", dt.date(2019, 3, 5)), ("no date", None), ("31/02/2019 then 5 March 2019", dt.date(2019, 3, 5)), (None, None)],
+    [("dated 10/09/2018 x", dt.date(2018, 9, 10)), ("on 5 March 2019", dt.date(2019, 3, 5)), ("no date", None), ("31/02/2019 then 5 March 2019", dt.date(2019, 3, 5)), ("10th March 2019", dt.date(2019, 3, 10)), ("10TH March 2019", None), (None, None)],
 )
 def test_dates(spark, given, expected):
     assert one(spark, given, text.extract_date) == expected
