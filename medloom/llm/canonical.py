@@ -8,6 +8,7 @@ on across partitions are joined by the partitions' first and last keys, one row
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,11 +108,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if last_key is not None:
         yield _rows(part, 1, np.array([first_id]), np.array([count]), np.array([head]))
         yield pa.RecordBatch.from_pydict(
-            {"part": [part], "kind": [2], "first_id": [lo_first], "value": [first_id], "head": [head], "lo": [lo_key], "hi": [last_key]},
+            {"part": [part], "kind": [2], "first_id": [lo_first], "value": [first_id], "head": [head], "lo": [_border(lo_key)], "hi": [_border(last_key)]},
             schema=_SCHEMA,
         )
 
 
+def _border(key: str) -> str:
+    """What stands for a key at a partition's border: itself, or if it is long its length and SHA-256, as these go to the driver."""
+    return key if len(key) <= 1_024 else f"{len(key)}:{hashlib.sha256(key.encode()).hexdigest()}"
+
+
 _SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("first_id", pa.int64()), ("value", pa.int64()), ("head", pa.bool_()), ("lo", pa.string()), ("hi", pa.string())])
 
 
