@@ -107,8 +107,9 @@ def orphans(references: DataFrame, parents: DataFrame, spread: int | None = None
     )
     ranges = scale.materialize(sorted_ranges(distinct))
     bounds = sorted(ranges.select("lo", "rid").collect(), key=lambda r: r["lo"].encode()) or [("", 0)]
-    asked = references.filter(F.col("key").isNotNull()).select("table_name", "id", "key", "time", "period_ym")
-    placed = scale.materialize(asked.mapInArrow(_assigner([r[1] for r in bounds], [r[0] for r in bounds]), asked.schema.simpleString()[7:-1].replace(":", " ") + ", rid int"))
+    asked = references.filter(F.col("key").isNotNull()).select("table_name", F.col("id").cast("bigint"), "key", F.col("time").cast("bigint"), "period_ym")
+    assign = _assigner([r[1] for r in bounds], [r[0] for r in bounds])
+    placed = scale.materialize(asked.mapInArrow(assign, "table_name string, id bigint, key string, time bigint, period_ym string, rid int"))
     per_range = placed.groupBy("rid").count().collect()
     slots = spread or scale.partitions(references.sparkSession)
     fair = max(1, sum(r["count"] for r in per_range) // max(1, slots))

@@ -38,11 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them back: lineage is cut, lost executors cost nothing.
 
-    Unlike checkpoint() it computes the rows once, and readers prune columns.
+    Unlike checkpoint() it computes the rows once, and readers prune columns. The table goes when the driver ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/medloom-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/medloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
