@@ -20,18 +20,15 @@ from pyspark.sql import functions as F
 
 from medloom import scale
 from medloom.functions.columns import SPACE, letters_only
+from medloom.functions.names import BREAK, separated
 from medloom.functions.numbers import number_key
 
 _BLANK_TEXT = "^" + SPACE + "*$"
-#: quoted and bracketed stretches, words, delimiters
-_PIECES = r"\x22[^\x22]*\x22|“[^”]*”|'[^']*'|\([^()]*\)|\[[^\[\]]*\]|[^\s\u0085\u00a0+＋&/|;,\x22“(\[]+|[+＋&/|;,\t\n\r\x22“(\[]"
-_BREAK = r"^(?:[+＋&/|;,\t\n\r]|(?i:and|with|plus))$"
 
 
 def canonical_name(name: Column) -> Column:
     """Ingredients in code-point order, each its letters and digits in lower case; null for null and blank names."""
-    parts = F.transform(F.regexp_extract_all(name, F.lit(_PIECES), F.lit(0)), lambda p: F.when(p.rlike(_BREAK), F.lit("\u0001")).otherwise(letters_only(p)))
-    items = F.filter(F.split(F.array_join(parts, ""), "\u0001"), lambda p: p != "")
+    items = F.filter(F.transform(F.split(separated(name), BREAK), letters_only), lambda p: p != "")
     return F.when(~name.rlike(_BLANK_TEXT), F.array_join(F.array_sort(items), "+"))
 
 
