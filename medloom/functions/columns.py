@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,3 +24,8 @@ def blank_to_null(text: Column) -> Column:
 def letters_only(text: Column) -> Column:
     """Lower case, letters, marks and digits only."""
     return F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", "")
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often and inside whatever lambda it is mentioned there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 BREAK = "\u0001"
 
 _DELIMITER = r"+＋&/|;,\t\n\r"
-_EDGE = rf"[^\s\u0085 {_DELIMITER}]"
+_EDGE = rf"[^\s\u0085\u00a0{_DELIMITER}]"
 _PLAIN = rf"(?i)[{_DELIMITER}]|(?<!{_EDGE})(?:and|with|plus)(?!{_EDGE})"
 #: quoted and bracketed stretches, words, delimiters
-_PIECES = rf"\x22[^\x22]*\x22|“[^”]*”|'[^']*'|\([^()]*\)|\[[^\[\]]*\]|[^\s\u0085 {_DELIMITER}\x22“(\[]+|[{_DELIMITER}\x22“(\[]"
+_PIECES = rf"\x22[^\x22]*\x22|“[^”]*”|'[^']*'|\([^()]*\)|\[[^\[\]]*\]|[^\s\u0085\u00a0{_DELIMITER}\x22“(\[]+|[{_DELIMITER}\x22“(\[]"
 _ALONE = rf"^(?:[{_DELIMITER}]|(?i:and|with|plus))$"
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from medloom import lexicon
-from medloom.functions.columns import SPACE, squeeze
+from medloom.functions.columns import SPACE, bound, squeeze
 
 MONTH = "(" + "|".join(m.capitalize() for m in lexicon.MONTHS) + ")"
 GSR = r"(?i)G\.?\s*S\.?\s*R\.?\s*(\d+)\s*\(?\s*E\s*\)?"
@@ -109,7 +109,7 @@ def split_sources(sources: Column) -> Column:
 def merge_sources(lists: Column) -> Column:
     """F11. An array of comma lists as one list: distinct without regard to case, first spelling and order kept."""
     every = F.flatten(F.transform(F.filter(lists, lambda s: s.isNotNull()), split_sources))
-    first = F.filter(every, lambda s, i: F.array_position(F.transform(every, F.lower), F.lower(s)) == i + 1)
+    first = bound(F.transform(every, F.lower), lambda low: F.filter(every, lambda s, i: F.array_position(low, F.lower(s)) == i + 1))
     return F.array_join(first, ", ")
 
 

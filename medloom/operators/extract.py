@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import lexicon
-from medloom.functions.columns import squeeze
+from medloom.functions.columns import bound, squeeze
 from medloom.functions.text import extract_date, extract_form, extract_number, extract_reason, extract_strength, split_combination, strip
 
 NO_ENTRIES, UNREADABLE = "[NO ENTRIES FOUND]", "[UNREADABLE PDF]"
@@ -68,8 +68,9 @@ def entries(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         "doc_id", "text", numbered_rows(F.col("text")).alias("t1"), combination_lines(F.col("text")).alias("t2"),
         extract_number(F.col("text")).alias("notification_number"), extract_date(F.col("text")).alias("notification_date"), extract_reason(F.col("text")).alias("ban_reason"),
-    ).withColumn("seen", F.transform("t1", lambda e: F.lower(e["generic_name"])))
-    both = F.concat("t1", F.filter("t2", lambda e: ~F.array_contains(F.col("seen"), F.lower(e["generic_name"]))))
+    )
+    seen = F.transform("t1", lambda e: F.lower(e["generic_name"]))
+    both = F.concat("t1", bound(seen, lambda names: F.filter("t2", lambda e: ~F.array_contains(names, F.lower(e["generic_name"])))))
     rows = rows.withColumn("sure", both).withColumn("guessed", F.when(F.size("sure") == 0, paragraph_names(F.col("text"))).otherwise(F.array().cast(rows.schema["t1"].dataType)))
     nothing = F.struct(F.when(F.col("text").isNull(), F.lit(UNREADABLE)).otherwise(F.lit(NO_ENTRIES)).alias("generic_name"), F.lit(None).cast("string").alias("dosage_form"), F.lit(None).cast("string").alias("strength"), F.substring("text", 1, 2000).alias("raw_text"))
     listed = F.when(F.size("sure") > 0, F.col("sure")).when(F.size("guessed") > 0, F.col("guessed")).otherwise(F.array(nothing))

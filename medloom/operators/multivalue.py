@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import scale
-from medloom.functions.columns import SPACE, squeeze
+from medloom.functions.columns import SPACE, bound, squeeze
 
 #: Characters and words that stand between two values, and pairs that protect what is between them.
 DELIMITERS = "+＋&/|;,\t\n\r"
@@ -88,7 +88,7 @@ def clean(value: Column) -> Column:
 def extract(text: Column, starts: Column, lengths: Column) -> Column:
     """The values of a text by the positions of its rule, cleaned; empty places are none."""
     tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    cut = F.zip_with(starts, lengths, lambda a, n: clean(F.array_join(F.slice(tokens, a, n), "")))
+    cut = bound(tokens, lambda t: F.zip_with(starts, lengths, lambda a, n: clean(F.array_join(F.slice(t, a, n), ""))))
     return F.filter(cut, lambda v: v != "")
 
 
