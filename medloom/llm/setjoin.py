@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import scale
-from medloom.functions.columns import SPACE, squeeze
+from medloom.functions.columns import SPACE, bound, squeeze
 
 #: Least Jaccard similarity of a match: one wrong, missing, doubled or swapped letter in a word of five is 0.57.
 THRESHOLD = 0.55
@@ -75,8 +75,7 @@ def letter_tokens(value: Column) -> Column:
     letters = F.filter(F.split(F.regexp_replace(value, " ", ""), ""), lambda c: c != "")
     padded = F.transform(words, lambda w: F.concat(F.lit("^"), w, F.lit("$")))
     pairs = F.flatten(F.transform(padded, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))))
-    every = F.array_sort(F.concat(letters, pairs))
-    return F.transform(every, lambda t, i: F.concat(t, F.lit("#"), (i - F.array_position(every, t)).cast("string")))
+    return bound(F.array_sort(F.concat(letters, pairs)), lambda every: F.transform(every, lambda t, i: F.concat(t, F.lit("#"), (i - F.array_position(every, t)).cast("string"))))
 
 
 def similarity_join(values: DataFrame, references: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
