@@ -21,10 +21,6 @@ from medloom.llm.textkind import FUNCTION_WORDS, text_kind
 
 STATISTICS = ("n_words", "mean_word_length", "symbol_ratio", "ended_lines", "common_words")
 
-#: Outlier score from which a text is looked at. Kinds that make up a third of a corpus can't be rare in it, so the gate
-#: is loose: it lets everything pass but the most ordinary texts.
-GATE = 1.0
-
 
 def language_key(lang: Column) -> Column:
     """'EN ', 'en-IN' -> 'en'; null and blank -> 'und'."""
@@ -94,11 +90,15 @@ def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "kind": pa.array([k for _, k in rows], pa.string())})
 
 
-def not_prose(documents: DataFrame, gate: float = GATE) -> DataFrame:
-    """``doc_id, kind``: documents that stand out in their language and whose lines are mostly list, table or junk.
+def not_prose(documents: DataFrame, gate: float = 0.0) -> DataFrame:
+    """``doc_id, kind``: documents whose lines are mostly list, table or junk.
 
-    Texts are read whole. Null texts are no case; empty and blank ones are junk.
+    Every text is read, and read whole, however ordinary its statistics are in its language: a kind that fills a third
+    of a corpus, or a language of one document, has no rare values. A ``gate`` above zero reads only texts of at least
+    that outlier score, and those without words. Null texts are no case; empty and blank ones are junk.
     """
-    marked = outlier_scores(documents).filter((F.col("outlier_score") >= gate) | (F.col("n_words") == 0)).select("doc_id")
     texts = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(marked, "doc_id").mapInArrow(_kinds, "doc_id bigint, kind string")
+    if gate > 0:
+        marked = outlier_scores(documents).filter((F.col("outlier_score") >= gate) | (F.col("n_words") == 0)).select("doc_id")
+        texts = texts.join(marked, "doc_id")
+    return texts.mapInArrow(_kinds, "doc_id bigint, kind string")

@@ -316,6 +316,14 @@ def test_not_prose(spark):
     assert textstats.not_prose(rows.limit(0)).count() == 0
 
 
+def test_not_prose_of_common_kinds_and_rare_languages(spark):
+    listing = "1. Alpha\n2. Beta and Gamma\n3. Delta"
+    rows = [(i, PROSE + f" {i}", "en") for i in range(60)] + [(100 + i, listing, "en") for i in range(30)] + [(900, listing, "hi"), (901, listing, None), (902, PROSE, "es")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["kind"] for r in textstats.not_prose(df).collect()} == {i: "list" for i in [*range(100, 130), 900, 901]}
+    assert textstats.not_prose(df.unionAll(df)).count() == 64
+
+
 def test_kinds_against_held_out_labels(spark, data):
     labels = spark.read.parquet(f"{data}/doc_labels.parquet").groupBy("doc_id").agg(F.min("kind").alias("kind"), F.max("kind").alias("other")).filter("kind = other").select("doc_id", "kind")
     found = textstats.not_prose(spark.read.parquet(f"{data}/documents.parquet")).withColumnRenamed("kind", "found")
