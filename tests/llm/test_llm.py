@@ -4,6 +4,7 @@ import collections
 import datetime as dt
 import difflib
 import itertools
+import math
 import random
 
 import pytest
@@ -155,6 +156,36 @@ def test_links(spark):
     assert got == {(1, 101): 1, (2, 101): 1, (1, 102): 1, (2, 102): 1, (3, 104): 2, (5, 105): 1, (5, 106): 1, (6, 108): 1}
 
 
+def test_runners_up_against_brute_force(spark):
+    rng = random.Random(11)
+    entities = sorted({("+".join(sorted(rng.sample("abcdefg", rng.randrange(1, 5)))), rng.choice([None, "G:12", "G:13", "G:21", "G:129", "S:12", "S:7"])) for _ in range(60)}, key=str)
+    df = spark.createDataFrame(entities, "s string, num string")
+    total, length = len(entities), sum(len(s.split("+")) + 1 for s, _ in entities) / len(entities)
+    stems_ = collections.Counter(w for s, _ in entities for w in s.split("+"))
+    nums = collections.Counter(n for _, n in entities if n)
+    variants = {r["n"]: set(r["v"] or []) for r in spark.createDataFrame([(n,) for n in nums], "n string").select("n", linkage.number_variants(F.col("n")).alias("v")).collect()}
+    idf = lambda n: math.log(1 + (total - n + 0.5) / (n + 0.5))
+
+    def score(qs, qnum, s, num):
+        near = 0 if num is None or qnum is None else 1 if num == qnum else 0.5 if variants[num] & variants[qnum] else 0
+        return 2.2 / (1 + 1.2 * (0.25 + 0.75 * (len(s.split("+")) + 1) / length)) * (sum(idf(stems_[w]) for w in set(s.split("+")) & set(qs.split("+"))) + (near and near * idf(nums[num])))
+
+    asked = [(s, n, *e) for s, n in entities for e in rng.sample(entities, 1) + [(s, n)]]
+    asked = list({(s, n): (s, n, es, en) for s, n, es, en in asked}.values())[::2] + [("a+b", "G:13", *entities[0])] * ("a+b" not in {s for s, n in entities if n == "G:13"})
+    table = lambda c, name, n: spark.createDataFrame(list(c.items()), f"{name} string, {n} long")
+    got = linkage.runners_up(spark.createDataFrame(asked, "qs string, qnum string, s string, num string"), df, table(stems_, "stem", "df"), table(nums, "num", "ndf"), total, length)
+    want = {(qs, qnum): max(score(qs, qnum, *e) for e in entities if e != (s, num)) for qs, qnum, s, num in asked}
+    assert {(r["qs"], r["qnum"]): r["second"] for r in got.collect()} == pytest.approx(want)
+
+
+def test_confidence_tells_matches_apart(spark):
+    kind = "id long, name string, number string"
+    left = [(1, "Alphadoxin + Bexaril", "S.O. 41(E)"), (2, "Alphadoxin + Bexaril + Corvadine", "S.O. 41(E)"), (3, "Fenoquilast", "G.S.R. 30842(E)"), (4, "Gorvixane", "G.S.R. 51976(E)")]
+    right = [(101, "Alphadoxin + Bexaril", "S.O. 41(E)"), (103, "Fenoquilast", "G.S.R. 30842(E)"), (104, "Gorvixane", "G.S.R. 51971(E)")]
+    got = {(r["left_id"], r["right_id"]): r["confidence"] for r in linkage.link(spark.createDataFrame(left, kind), spark.createDataFrame(right, kind)).collect()}
+    assert set(got) == {(1, 101), (3, 103), (4, 104)} and len({round(c, 6) for c in got.values()}) == 3
+
+
 def test_links_of_empty_tables(spark):
     empty, some = spark.createDataFrame([], "id long, name string, number string"), spark.createDataFrame([(1, "Alphadoxin", "S.O. 1(E)")], "id long, name string, number string")
     assert linkage.link(empty, some).count() == linkage.link(some, empty).count() == linkage.link(empty, empty).count() == 0
