@@ -36,6 +36,16 @@ def p1_copy_counts(spark: SparkSession, folder: str) -> DataFrame:
     return canonical.representatives(_keyed(spark, folder, "banned_medicines")).join(rows, "first_id")
 
 
+def p1_copy_counts_all(spark: SparkSession, folder: str) -> DataFrame:
+    """As p1_copy_counts, of both tables."""
+    found = None
+    for name in ("banned_medicines", "unofficial_medicines"):
+        rows = table(spark, folder, name).select(F.col("id").alias("first_id"), "generic_name", "notification_number")
+        part = canonical.representatives(_keyed(spark, folder, name)).join(rows, "first_id").select(F.lit(name).alias("table_name"), "first_id", "n_copies", "generic_name", "notification_number")
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "banned_medicines")
     repeats = scale.materialize(canonical.copies(rows.select(canonical.record_key(rows).alias("key"), "id")))
@@ -117,6 +127,6 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches,
+    "p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p1_copy_counts_all": p1_copy_counts_all, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches,
     "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics,
 }

@@ -10,7 +10,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from medloom.llm import canonical, consensus, leakage, linkage, mixture, setjoin, textkind, textstats
+from medloom.llm import canonical, consensus, leakage, linkage, mixture, queries, setjoin, textkind, textstats
 
 # ---- duplicates hidden by formatting
 
@@ -61,6 +61,17 @@ def test_copies_across_partitions_against_brute_force(spark, seed):
     assert {tuple(r) for r in canonical.representatives(df).collect()} == {(first[k], n) for k, n in count.items()}
 
 
+def test_copy_counts_of_both_tables(spark, data):
+    want = {}
+    for name in ("banned_medicines", "unofficial_medicines"):
+        ids = collections.defaultdict(list)
+        for r in queries._keyed(spark, data, name).collect():
+            ids[r["key"]].append(r["id"])
+        want |= {(name, min(x)): len(x) for x in ids.values()}
+    rows = queries.QUERIES["p1_copy_counts_all"](spark, data).collect()
+    assert {(r["table_name"], r["first_id"]): r["n_copies"] for r in rows} == want and len(rows) == len(want)
+
+
 # ---- consensus
 
 
