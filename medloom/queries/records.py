@@ -215,6 +215,14 @@ def ref_m1_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(*merge.MEDICINE_KEY, "notification_date", "ban_reason", "source_pdf", "outcome")
 
 
+def ref_m1_upsert_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The official rows of even ids, one a key, after a batch of all rows."""
+    rows = _medicines(spark, folder, "banned_medicines")
+    target = _first_rows(rows.filter("id % 2 = 0"), merge.MEDICINE_KEY)
+    out = merge.upsert(target, rows.withColumn("seq", F.col("id")), merge.MEDICINE_KEY, ["notification_date", "ban_reason", "source_pdf"], "seq", F.lit(NOW).cast("timestamp"))
+    return out.select(*merge.MEDICINE_KEY, "notification_date", "ban_reason", "source_pdf", "outcome")
+
+
 def ref_m2_notification_upsert(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "notifications_processed").withColumn("date_added", F.col("last_attempt")).withColumn("last_updated", F.col("last_attempt"))
     values = ["download_status", "parsing_status", "error_message", "pdf_path"]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from medloom.operators import dedup, extract, links, merge, validate, xref
 from medloom.plans import curation
+from medloom.queries import records
 from medloom.sources import files
 from medloom.sources.html import pages, read_page
 
@@ -144,3 +145,17 @@ def test_listing_pipeline(spark):
     got = curation.route_listings(rows, F.lit("2024-01-01").cast("date"))
     assert [(r["generic_name"], r["source"]) for r in got["unofficial_medicines"].collect()] == [("Drug A", "vaayath.com, ayush.gov.in")]
     assert [r["generic_name"] for r in got["ayush_fssai_medicines"].collect()] == ["Herb X"]
+
+
+def test_upsert_query_takes_all_rows(spark, data):
+    values = ["notification_date", "ban_reason", "source_pdf"]
+    last, even = {}, set()
+    for r in sorted(spark.read.parquet(f"{data}/banned_medicines.parquet").collect(), key=lambda r: r["id"]):
+        key = tuple(r[k] for k in merge.MEDICINE_KEY)
+        if r["id"] % 2 == 0:
+            even.add(key)
+        row = last.setdefault(key, dict.fromkeys(values))
+        row.update({v: r[v] for v in values if r[v] is not None})
+    rows = records.QUERIES["ref_m1_upsert_all"](spark, data).collect()
+    got = {tuple(r[k] for k in merge.MEDICINE_KEY): ({v: r[v] for v in values}, r["outcome"]) for r in rows}
+    assert got == {k: (x, "updated" if k in even else "inserted") for k, x in last.items()} and len(rows) == len(last)
