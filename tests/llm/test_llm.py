@@ -197,6 +197,13 @@ def test_confidence_tells_matches_apart(spark):
     assert set(got) == {(1, 101), (3, 103), (4, 104)} and len({round(c, 6) for c in got.values()}) == 3
 
 
+def test_exact_set_goes_before_one_ingredient_more(spark):
+    kind = "id long, name string, number string"
+    left = [(1, "Alphadoxin + Bexaril + Corvadine", "S.O. 41(E)"), (2, "Alphadoxin + Bexaril + Corvadine + Dulmaxen", "S.O. 97(E)")]
+    found = linkage.link(spark.createDataFrame(left, kind), spark.createDataFrame([(101, "Alphadoxin + Bexaril + Corvadine", None)], kind))
+    assert [(r["left_id"], r["right_id"]) for r in found.collect()] == [(1, 101)]
+
+
 def test_links_of_empty_tables(spark):
     empty, some = spark.createDataFrame([], "id long, name string, number string"), spark.createDataFrame([(1, "Alphadoxin", "S.O. 1(E)")], "id long, name string, number string")
     assert linkage.link(empty, some).count() == linkage.link(some, empty).count() == linkage.link(empty, empty).count() == 0
