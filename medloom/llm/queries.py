@@ -84,15 +84,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.map_to_list(rows, ["table_name", "id"], "dosage_form", references).withColumnRenamed("ref_id", "form_id")
 
 
+def _links(spark: SparkSession, folder: str) -> linkage.Links:
+    left = table(spark, folder, "banned_medicines").select("id", F.col("generic_name").alias("name"), "ingredients", F.col("notification_number").alias("number"))
+    right = table(spark, folder, "unofficial_medicines").select("id", F.col("generic_name").alias("name"), F.col("notification_number").alias("number"))
+    return linkage.link(left, right)
+
+
 def p7_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """The pairs with their confidence."""
-    side = lambda name: table(spark, folder, name).select("id", F.col("generic_name").alias("name"), F.col("notification_number").alias("number"))
-    found = linkage.link(side("banned_medicines"), side("unofficial_medicines"))
-    return found.select(F.col("left_id").alias("banned_id"), F.col("right_id").alias("unofficial_id"), F.round("confidence", 6).alias("confidence"))
+    """Every matched row once: the entity it belongs to, the confidence, and the number of rows it is linked to."""
+    side = F.when(F.col("side") == "left", "banned_medicines").otherwise("unofficial_medicines")
+    return _links(spark, folder).members().select("entity_id", side.alias("table_name"), "id", F.round("confidence", 6).alias("confidence"), "links")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p7_matches(spark, folder).select("banned_id", "unofficial_id")
+    return _links(spark, folder).expand().select(F.col("left_id").alias("banned_id"), F.col("right_id").alias("unofficial_id"))
 
 
 def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:

@@ -152,61 +152,113 @@ def test_map_to_list(spark):
 # ---- linkage
 
 
+SIDE = "id long, name string, number string"
+#: other official records, so that there is something to tell apart and to calibrate on
+OTHERS = [(1_000 + i, " + ".join(f"{a}{b}{c}ine" for a, b, c in zip(x[::3], x[1::3], x[2::3])), f"S.O. {20_000 + 137 * i}(E)") for i, x in enumerate([random.Random(i).choices(["bru", "kol", "mey", "san", "tir", "vop", "zul", "wex"], k=3 * (1 + i % 3)) for i in range(80)])]
+
+
+def linked(spark, left, right, **how):
+    found = linkage.link(spark.createDataFrame([*left, *OTHERS], SIDE), spark.createDataFrame(right, SIDE), **how)
+    return {(r["left_id"], r["right_id"]): r["confidence"] for r in found.expand().collect()}, found
+
+
 def test_links(spark):
-    kind = "id long, name string, number string"
     left = [
         (1, "Alphadoxin + Bexaril Sodium + Corvadine + Dulmaxen", "G.S.R. 417(E)"), (2, "bexaril, alphadoxin; CORVADINE and Dulmaxen", "GSR 417"), (3, "Alphadoxin", "S.O. 12(E)"), (4, "Alphadoxin", "S.O. 99(E)"),
         (5, "Fenoquilast", "G.S.R. 30842(E)"), (6, "Gorvixane", None), (7, None, "S.O. 12(E)"), (8, "", "S.O. 12(E)"), (9, "Hexulide", "Circular No. 5"),
     ]
     right = [
         (101, "FDC of Alphadoksin, Bexaril Sod., Corvadine & Dulmaxen", "gsr 417(e)"), (102, "Alphadoxin + Bexaril + Corvadine", "G.S.R. 417(E)"), (103, "Alphadoxin", None), (104, "Alphadoxin tablets", "SO 12"),
-        (105, "Fenoqilast", "G.S.R. 30342(E)"), (106, "Fenoquilast", None), (107, "Fenoquilast", "G.S.R. 11111(E)"), (108, "Gorvixane [Brand]", ""), (109, None, "S.O. 12(E)"), (110, "Zzyzx", "S.O. 12(E)"),
-        (111, "Alphadoxin + Bexaril", "G.S.R. 417(E)"), (112, "Hexulide + Zork", "Circular No. 5"), (104, "Alphadoxin tablets", "SO 12"),
+        (105, "Fenoqilast", "G.S.R. 30342(E)"), (106, "Fenoquilast", None), (108, "Gorvixane [Brand]", ""), (109, None, "S.O. 12(E)"), (110, "Zzyzx", "S.O. 12(E)"), (112, "Hexulide + Zork", "Circular No. 5"), (104, "Alphadoxin tablets", "SO 12"),
     ]
-    got = collections.Counter((r["left_id"], r["right_id"]) for r in linkage.link(spark.createDataFrame(left, kind), spark.createDataFrame(right, kind)).collect())
+    found = linkage.link(spark.createDataFrame([*left, *OTHERS], SIDE), spark.createDataFrame(right, SIDE))
+    got = collections.Counter((r["left_id"], r["right_id"]) for r in found.expand().collect())
     assert got == {(1, 101): 1, (2, 101): 1, (1, 102): 1, (2, 102): 1, (3, 104): 2, (5, 105): 1, (5, 106): 1, (6, 108): 1}
+    links = collections.Counter()
+    for (a, b), n in got.items():
+        links["left", a] += n
+        links["right", b] += n
+    assert {(r["side"], r["id"]): r["links"] * (1 + (r["id"] == 104)) for r in found.members().collect()} == links
 
 
-def test_runners_up_against_brute_force(spark):
+def test_ingredients_are_read(spark):
+    left = spark.createDataFrame([(1, "Combipack", ["Alphadoxin", "Bexaril"], "S.O. 41(E)"), (2, "Corvadine", None, "S.O. 7(E)"), (3, None, ["Dulmaxen and Fenoquilast"], "S.O. 9(E)")], "id long, name string, ingredients array<string>, number string")
+    right = spark.createDataFrame([(101, "Dulmaxen + Fenoquilast", "SO 9"), (102, "Corvadine", "SO 7"), (103, "Combipack, Alphadoxin, Bexaril", "SO 41")], SIDE)
+    assert {(r["left_id"], r["right_id"]) for r in linkage.link(left, right).expand().collect()} == {(3, 101), (2, 102), (1, 103)}
+
+
+@pytest.mark.parametrize("long_", [2, 6])
+def test_search_against_brute_force(spark, monkeypatch, long_):
+    monkeypatch.setattr(linkage, "LONG", long_)
     rng = random.Random(11)
-    entities = sorted({("+".join(sorted(rng.sample("abcdefg", rng.randrange(1, 5)))), rng.choice([None, "G:12", "G:13", "G:21", "G:129", "S:12", "S:7"])) for _ in range(60)}, key=str)
-    df = spark.createDataFrame(entities, "s string, num string")
+    entities = sorted({("+".join(sorted(rng.sample("abcdefgh", rng.randrange(1, 6)))), rng.choice([None, "G:12", "G:13", "G:21", "G:129", "S:12", "S:7"])) for _ in range(80)}, key=str)
+    index = linkage.Index.of(spark.createDataFrame(entities, "s string, num string"))
     total, length = len(entities), sum(len(s.split("+")) + 1 for s, _ in entities) / len(entities)
-    stems_ = collections.Counter(w for s, _ in entities for w in s.split("+"))
-    nums = collections.Counter(n for _, n in entities if n)
-    variants = {r["n"]: set(r["v"] or []) for r in spark.createDataFrame([(n,) for n in nums], "n string").select("n", linkage.number_variants(F.col("n")).alias("v")).collect()}
+    stems_, nums = collections.Counter(w for s, _ in entities for w in s.split("+")), collections.Counter(n for _, n in entities if n)
+    variants = {r["n"]: set(r["v"] or []) for r in spark.createDataFrame([(n,) for n in [*nums, "G:99"]], "n string").select("n", linkage.number_variants(F.col("n")).alias("v")).collect()}
     idf = lambda n: math.log(1 + (total - n + 0.5) / (n + 0.5))
-
-    def score(qs, qnum, s, num):
-        near = 0 if num is None or qnum is None else 1 if num == qnum else 0.5 if variants[num] & variants[qnum] else 0
-        return 2.2 / (1 + 1.2 * (0.25 + 0.75 * (len(s.split("+")) + 1) / length)) * (sum(idf(stems_[w]) for w in set(s.split("+")) & set(qs.split("+"))) + (near and near * idf(nums[num])))
-
-    asked = [(s, n, *e) for s, n in entities for e in rng.sample(entities, 1) + [(s, n)]]
-    asked = list({(s, n): (s, n, es, en) for s, n, es, en in asked}.values())[::2] + [("a+b", "G:13", *entities[0])] * ("a+b" not in {s for s, n in entities if n == "G:13"})
-    table = lambda c, name, n: spark.createDataFrame(list(c.items()), f"{name} string, {n} long")
-    got = linkage.runners_up(spark.createDataFrame(asked, "qs string, qnum string, s string, num string"), df, table(stems_, "stem", "df"), table(nums, "num", "ndf"), total, length)
-    want = {(qs, qnum): max(score(qs, qnum, *e) for e in entities if e != (s, num)) for qs, qnum, s, num in asked}
-    assert {(r["qs"], r["qnum"]): r["second"] for r in got.collect()} == pytest.approx(want)
+    asked = sorted({(s, n) for s, n in rng.sample(entities, 30)} | {("+".join(sorted(rng.sample("abcdefghxy", rng.randrange(1, 5)))), rng.choice([None, "G:12", "G:99", "S:7"])) for _ in range(40)}, key=str)
+    hidden = {k for k in asked[::5] if k in entities}
+
+    def score(q, e):
+        (qs, qnum), (s, num) = q, e
+        a, b = set(qs.split("+")), set(s.split("+"))
+        known = q in entities and q not in hidden
+        agreed = 0 if num is None or qnum is None else 1 if num == qnum else 0.5 if not known and a <= b and len(b) <= len(a) + 1 and variants[num] & variants[qnum] else 0
+        return (linkage.K1 + 1) / (1 + linkage.K1 * (1 - linkage.B + linkage.B * (len(b) + 1) / length)) * (sum(idf(stems_[w]) for w in a & b) + (agreed and agreed * idf(nums[num])))
+
+    rows = [(i, s, n, None) for i, (s, n) in enumerate(asked)]
+    queries_ = spark.createDataFrame(rows, "qid long, qs string, qnum string, none string").select("qid", "qs", "qnum", F.when(F.col("qid").isin([i for i, q in enumerate(asked) if q in hidden]), linkage._id(F.col("qs"), F.col("qnum"))).alias("hidden"))
+    got = collections.defaultdict(dict)
+    for r in index.search(index.weigh(queries_)).collect():
+        got[r["qid"]][r["rank"]] = r["score"]
+    for i, q in enumerate(asked):
+        want = sorted((score(q, e) for e in entities if not (q in hidden and e == q) and score(q, e) > 0), reverse=True)[: linkage.TOP]
+        exact = [w for w in want if w >= want[0] / 2]
+        assert [got[i][k + 1] for k in range(len(exact))] == pytest.approx(exact), q
 
 
 def test_confidence_tells_matches_apart(spark):
-    kind = "id long, name string, number string"
     left = [(1, "Alphadoxin + Bexaril", "S.O. 41(E)"), (2, "Alphadoxin + Bexaril + Corvadine", "S.O. 41(E)"), (3, "Fenoquilast", "G.S.R. 30842(E)"), (4, "Gorvixane", "G.S.R. 51976(E)")]
     right = [(101, "Alphadoxin + Bexaril", "S.O. 41(E)"), (103, "Fenoquilast", "G.S.R. 30842(E)"), (104, "Gorvixane", "G.S.R. 51971(E)")]
-    got = {(r["left_id"], r["right_id"]): r["confidence"] for r in linkage.link(spark.createDataFrame(left, kind), spark.createDataFrame(right, kind)).collect()}
-    assert set(got) == {(1, 101), (3, 103), (4, 104)} and len({round(c, 6) for c in got.values()}) == 3
+    got, _ = linked(spark, left, right)
+    assert set(got) == {(1, 101), (3, 103), (4, 104)} and len({round(c, 6) for c in got.values()}) == 3 and got[3, 103] > got[4, 104]
+
+
+def test_matches_must_be_mutual(spark):
+    # the listing that fits entity 2 best fits entity 1 better, so whatever else is nearest to 2 is not what 2 is nearest to
+    left = [(1, "Alphadoxin + Bexaril", "S.O. 41(E)"), (2, "Alphadoxin + Corvadine", "G.S.R. 977(E)"), (3, "Dulmaxen", "S.O. 5(E)")]
+    matches = spark.createDataFrame([(10, 1, 1, 9.0, 0.9), (10, 2, 2, 8.0, 0.8), (11, 1, 2, 7.0, 0.7), (12, 1, 3, 5.0, 0.5), (13, 1, 3, 4.0, 0.4)], "qid long, rank int, eid long, score double, coverage double")
+    assert sorted(r["eid"] for r in linkage.mutual_entities(matches).collect()) == [1, 3]
+    assert linked(spark, left, [(101, "Alphadoxin + Bexaril", "S.O. 41(E)")])[0].keys() == {(1, 101)}
+
+
+def test_calibration(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = np.c_[np.ones(4_000), rng.uniform(0, 0.5, 4_000), rng.uniform(0, 1, (4_000, 3))]
+    y = rng.uniform(size=4_000) < 1 / (1 + np.exp(-(x @ np.array([-6.0, 2.0, 4.0, 5.0, 1.0]))))
+    weights = linkage.calibrate(x[:2_000], y[:2_000])
+    assert linkage.calibration_error(weights, x[2_000:], y[2_000:]) < 0.05 < linkage.calibration_error(np.zeros(5), x[2_000:], y[2_000:])
+
+
+def test_calibration_on_outcomes_of_the_data(spark, data):
+    found = queries._links(spark, data)
+    confidence = [r[0] for r in found.pairs.select("confidence").collect()]
+    assert found.error < 0.1 and len({round(c, 4) for c in confidence}) > 10
 
 
 def test_exact_set_goes_before_one_ingredient_more(spark):
-    kind = "id long, name string, number string"
     left = [(1, "Alphadoxin + Bexaril + Corvadine", "S.O. 41(E)"), (2, "Alphadoxin + Bexaril + Corvadine + Dulmaxen", "S.O. 97(E)")]
-    found = linkage.link(spark.createDataFrame(left, kind), spark.createDataFrame([(101, "Alphadoxin + Bexaril + Corvadine", None)], kind))
-    assert [(r["left_id"], r["right_id"]) for r in found.collect()] == [(1, 101)]
+    assert linked(spark, left, [(101, "Alphadoxin + Bexaril + Corvadine", "SO 41")])[0].keys() == {(1, 101)}
 
 
-def test_links_of_empty_tables(spark):
-    empty, some = spark.createDataFrame([], "id long, name string, number string"), spark.createDataFrame([(1, "Alphadoxin", "S.O. 1(E)")], "id long, name string, number string")
-    assert linkage.link(empty, some).count() == linkage.link(some, empty).count() == linkage.link(empty, empty).count() == 0
+def test_links_of_empty_tables_and_many_ingredients(spark):
+    empty, some = spark.createDataFrame([], SIDE), spark.createDataFrame([(1, "Alphadoxin", "S.O. 1(E)")], SIDE)
+    assert linkage.link(empty, some).expand().count() == linkage.link(some, empty).expand().count() == linkage.link(empty, empty).expand().count() == 0
+    many = " + ".join("qwrtp"[i % 5] + "aeio"[i // 5 % 4] + "lmn"[i // 20] + "oxin" for i in range(30))
+    assert linked(spark, [(1, many, "S.O. 1(E)"), (2, "Alphadoxin", "S.O. 1(E)")], [(101, many.upper(), "SO 1"), (102, "Alphadoxin", "SO 1")])[0].keys() == {(1, 101), (2, 102)}
 
 
 def test_number_variants(spark):
