@@ -1,9 +1,11 @@
 """Mixing sources to target weights: a low-discrepancy schedule of slots joined with shuffled blocks of equal tokens.
 
 Slot i of the schedule goes to the source into whose part of the unit interval the van der Corput point of i falls, so
-every stretch of the mixture has close to the target shares. Documents of a source are shuffled by a hash and cut into
-blocks of about equal tokens; the slots of a source are numbered, and number r takes block r modulo the blocks, in
-pass r div the blocks. Sources, slots and tokens are numbered by prefix sums over parts, never in one task.
+every stretch of the mixture has close to the target shares. Documents of a source are shuffled by a hash, laid end to
+end and cut into blocks of equal tokens, documents being cut where a block ends; the slots of a source are numbered,
+and number r takes block r modulo the blocks, in pass r div the blocks. The mixture ends before the first slot whose
+source has no pass left, so every slot is filled. Sources, slots and tokens are numbered by prefix sums over parts,
+never in one task.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from medloom.functions.columns import squeeze
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BLOCK_TOKENS, CHUNK, BITS = 512, 1 << 16, 52
+#: Tokens of a block at most, and the slots wanted: mixtures of fewer than SLOTS such blocks take smaller ones, down to
+#: LEAST_TOKENS, as shares can be met to about a slot only. Slots or documents that one task numbers; digits of a point.
+BLOCK_TOKENS, SLOTS, LEAST_TOKENS, CHUNK, BITS = 512, 2_048, 16, 1 << 16, 52
 
 
 def source_key(source: Column) -> Column:
@@ -58,8 +62,11 @@ def van_der_corput(i: Column) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(i), BITS, "0")), 2, 10).cast("double") / F.lit(float(1 << BITS))
 
 
-def mixture(documents: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """The mixture ``slot, source, pass, doc_id, n_tokens`` and the report, one row per source of ``targets``.
+def mixture(documents: DataFrame, targets: DataFrame, block_tokens: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The mixture ``slot, source, pass, doc_id, from_token, to_token, n_tokens`` and the report, one row per source of ``targets``.
+
+    A slot holds ``block_tokens`` tokens, but for a source's last block, in one or several pieces of documents: the
+    tokens from_token to to_token (exclusive, counted from 0) of doc_id.
 
     documents: ``doc_id, source_key, n_tokens``; targets: ``source, target_share, max_repeats``, a short list that is
     read on the driver. The size is the largest at which every source that has text can hold its share of it without
@@ -78,11 +85,17 @@ def mixture(documents: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_
     weight = sum(r["target_share"] for r in present)
     size = min((r["max_repeats"] * held[r["source"]][0] / (r["target_share"] / weight) for r in present), default=0.0)
 
+    if block_tokens is None:
+        block_tokens = max(LEAST_TOKENS, min(BLOCK_TOKENS, 1 << max(0, int(size / SLOTS).bit_length() - 1)))
+
     # shuffled documents of a source in blocks of equal tokens; parts of the hash range bound what one task sums
     parts = max(64, -(-sum(d for _, d in held.values()) // CHUNK))
     shuffled = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("h", F.shiftrightunsigned("h", 1))
     place = scale.with_offsets(shuffled, ["source"], ["h", "doc_id"], F.col("n_tokens"), bucket=F.floor(F.col("h") / F.lit(float(1 << 63)) * parts))
-    blocks = place.select("source", "doc_id", "n_tokens", F.floor(F.col("start") / block_tokens).alias("block"))
+    end = F.col("start") + F.col("n_tokens")
+    cut = place.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block_tokens), F.floor((end - 1) / block_tokens))))
+    first, last = F.greatest(F.col("start"), F.col("block") * block_tokens), F.least(end, (F.col("block") + 1) * block_tokens)
+    blocks = cut.select("source", "doc_id", "block", (first - F.col("start")).alias("from_token"), (last - F.col("start")).alias("to_token"), (last - first).alias("n_tokens"))
     n_blocks = {s: max(1, -(-t // block_tokens)) for s, (t, _) in held.items()}
 
     # slots: van der Corput points through cumulative weights, numbered within their source by chunks
@@ -99,10 +112,12 @@ def mixture(documents: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_
     counts = counts.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     ranked = slots.withColumn("chunk", chunk).withColumn("r", F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1)
     ranked = ranked.join(counts, ["source", "chunk"]).withColumn("rank", F.col("base") + F.col("r"))
-    turns = ranked.select("slot", "source", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"), "max_repeats").filter("pass < max_repeats")
-    mixed = turns.select("slot", "source", F.col("pass").cast("int").alias("pass"), "block").join(blocks, ["source", "block"]).select("slot", "source", "pass", "doc_id", "n_tokens")
+    turns = scale.materialize(ranked.select("slot", "source", F.floor(F.col("rank") / F.col("blocks")).cast("int").alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"), "max_repeats"))
+    ends = turns.filter(F.col("pass") >= F.col("max_repeats")).agg(F.min("slot")).first()[0]
+    filled = turns if ends is None else turns.filter(F.col("slot") < ends)
+    mixed = filled.select("slot", "source", "pass", "block").join(blocks, ["source", "block"]).select("slot", "source", "pass", "doc_id", "from_token", "to_token", "n_tokens")
 
-    used = mixed.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), F.count("*").alias("used_documents"), (F.max("pass") + 1).alias("passes"))
+    used = mixed.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), F.countDistinct("doc_id").alias("used_documents"), (F.max("pass") + 1).alias("passes"))
     listed = spark.createDataFrame(
         [(r["source"], float(r["target_share"]), r["max_repeats"], *held.get(r["source"], (0, 0))) for r in asked],
         "source string, target_share double, max_repeats int, available_tokens bigint, available_documents bigint",

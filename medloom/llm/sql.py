@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from medloom.llm import setjoin
-from medloom.llm.queries import STAND_INS
 from medloom.llm.textkind import FUNCTION_WORDS
 from medloom.queries.curation import _WS, sql_number_key, sql_squeezed
 
@@ -48,20 +47,6 @@ def _copies(table: str) -> str:
     return f"SELECT first_id, id FROM (SELECT id, min(id) OVER (PARTITION BY key) AS first_id FROM ({_keys(table)})) WHERE id <> first_id"
 
 
-_LINK = rf"lower(regexp_replace(source_pdf, '{_WS}+', '', 'g'))"
-_HOST = r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/@?#]*@)?(?:www\.)?([^/:?#]+)"
-_P2 = f"""
-    WITH c AS ({_copies('banned_medicines')}), s AS (SELECT first_id, id FROM c UNION SELECT first_id, first_id FROM c),
-    r AS (SELECT s.first_id, b.id, coalesce(last_updated, TIMESTAMPTZ '1900-01-01') AS lu, last_updated, notification_date, {sql_squeezed('ban_reason')} AS reason, {_letters('ban_reason')} AS letters, nullif({_LINK}, '') AS link
-      FROM s JOIN banned_medicines b ON s.id = b.id),
-    t AS (SELECT lower(trim(host)) AS host, min(trust_rank) AS trust_rank FROM source_ranks GROUP BY 1),
-    v AS (
-      SELECT first_id, 'ban_reason' AS field_name, id, lu, length(reason) AS merit FROM r WHERE reason IS NOT NULL AND letters NOT IN ({', '.join(f"'{x}'" for x in STAND_INS)})
-      UNION ALL SELECT first_id, 'notification_date', id, lu, 0 FROM r WHERE notification_date IS NOT NULL AND (last_updated IS NULL OR notification_date <= CAST(last_updated AS DATE))
-      UNION ALL SELECT first_id, 'source_pdf', id, lu, -coalesce(trust_rank, 2147483647) FROM r LEFT JOIN t ON regexp_extract(link, '{_HOST}', 1) = t.host WHERE link IS NOT NULL)
-    SELECT first_id, field_name, id AS from_id FROM v QUALIFY row_number() OVER (PARTITION BY first_id, field_name ORDER BY merit DESC, lu DESC, id) = 1"""
-
-
 def _normal(c: str) -> str:
     t = rf"regexp_replace(lower({c}), '\b(?:i\.m|i\.v)\b\.?', ' ', 'g')"
     t = rf"regexp_replace({t}, '[^\p{{L}}\p{{M}}]+', ' ', 'g')"
@@ -106,7 +91,6 @@ _P10 = f"""
 SQL: dict[str, str] = {
     "p1_found": f"SELECT 'banned_medicines' AS table_name, * FROM ({_copies('banned_medicines')}) UNION ALL SELECT 'unofficial_medicines', * FROM ({_copies('unofficial_medicines')})",
     "p1_copy_counts": f"SELECT first_id, n_copies, generic_name, notification_number FROM (SELECT min(id) AS first_id, count(*) AS n_copies FROM ({_keys('banned_medicines')}) GROUP BY key) JOIN banned_medicines ON first_id = id",
-    "p2_found": _P2,
     "p5_found": _P5,
     "p10_statistics": _P10,
 }

@@ -89,23 +89,49 @@ def _inside(part, whole):
     return all(x in rest for x in part)
 
 
-def test_votes_and_dominance():
-    texts = ["the quick brown fox", "a quick brown fox jumps", "the quick brown fox jumps", "the quick fox jumps"]
-    assert consensus.survivor(texts, "linear") == 2
-    assert consensus.survivor(texts, "dominant") == 0
-    assert consensus.consensus([["a", "b"], ["a", "c"], ["a", "c"]], [2, 1, 2]) == ["a", "c"]
-
-
-@pytest.mark.parametrize("block", [2, 64])
-def test_survivors_against_brute_force(spark, block):
+def test_votes():
+    # one column each: the preferred value stands against two others, and falls to all of them
+    assert consensus.survivor(["a x", "b x", "b x y"]) == 0
+    assert consensus.survivor(["2019-05-01", "2018-05-01", "2018-06-01", "2018-07-01", "2018-08-01"]) == 1  # plain preference says 0
+    assert consensus.consensus([["a", "b"], ["a", "c"], ["a", "c"]], [2.0, 1.0, 1.5]) == ["a", "c"]
+    assert consensus.consensus([["a", "b", "c"], ["a"]], [1.0, 0.55]) == ["a", "b", "c"]
+    assert consensus.survivor(["may cause liver injury at the usual dose", "may cause liver injury", "may cause"]) == 0
+
+
+@pytest.mark.parametrize("voters", [2, 3, 62])
+def test_survivors_against_brute_force(spark, monkeypatch, voters):
+    monkeypatch.setattr(consensus, "VOTERS", voters)
     rng = random.Random(3)
     rows = [(g, rng.choice([None, *"abcdefgh"]) and f"text {rng.randrange(40)} of {rng.choice('abc')}", rng.randrange(5), i) for i, g in enumerate(rng.choice([1, 1, 1, 2, 3, 4]) for _ in range(400))]
     df = spark.createDataFrame([*rows, (9, None, 1, 999)], "g long, v string, merit long, id long")
-    got = {r["g"]: r["id"] for r in consensus.survivors(df, ["g"], "v", [F.col("merit"), -F.col("id")], ["id"], block=block).collect()}
-    want = {g: -max((m, -i) for h, v, m, i in rows if h == g and v is not None)[1] for g in {r[0] for r in rows}}
+    got = {r["g"]: r["id"] for r in consensus.survivors(df, ["g"], "v", [F.col("merit"), -F.col("id")], ["id"]).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        best = {}
+        for h, v, m, i in rows:
+            if h == g and v is not None:
+                best[v] = max((m, -i), best.get(v, (-1, 0)))
+        texts = sorted(best, key=best.get, reverse=True)
+        want[g] = -best[texts[consensus.survivor(texts)]][1]
     assert got == want
 
 
+def test_values_without_weight_change_no_vote():
+    rng = random.Random(8)
+    for _ in range(20):
+        texts = list({f"{rng.randrange(9)} of {rng.choice('abc')} and {rng.randrange(99)}": 0 for _ in range(150)})
+        tokens = [consensus._TOKEN.findall(t) for t in texts]
+        assert consensus.consensus(tokens[: consensus.VOTERS], [consensus.RATIO**i for i in range(len(texts))]) == consensus.consensus(tokens, [consensus.RATIO**i for i in range(len(texts))])
+
+
+def test_survivors_are_copies_of_their_set(spark, data):
+    kept = {(r["first_id"], r["field_name"]): r["from_id"] for r in queries.p2_found(spark, data).collect()}
+    members = collections.defaultdict(set)
+    for r in queries.p1_found(spark, data).filter("table_name = 'banned_medicines'").collect():
+        members[r["first_id"]] |= {r["first_id"], r["id"]}
+    assert {k[1] for k in kept} == {"source_pdf", "notification_date", "ban_reason"} and all(v in members[k[0]] for k, v in kept.items())
+
+
 def test_survivors_of_nothing(spark):
     assert consensus.survivors(spark.createDataFrame([], "g long, v string, m long, id long"), ["g"], "v", [F.col("m")], ["id"]).count() == 0
 
@@ -337,9 +363,16 @@ def test_mixture(spark):
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 3), ("C ", 0.2, 2), ("missing", 0.1, 5)], "source string, target_share double, max_repeats int")
     df = spark.createDataFrame([*docs, (9_999, None, 50)], "doc_id long, source_key string, n_tokens long")
     mixed, report = mixture.mixture(df, targets, block_tokens=512)
-    uses = collections.Counter((r["source"], r["doc_id"]) for r in mixed.collect())
-    most = {"a": 1, "b": 3, "c": 2}
-    assert all(n <= most[s] for (s, _), n in uses.items())
+    size, most = {d: n for d, _, n in docs}, {"a": 1, "b": 3, "c": 2}
+    rows, slots, uses = mixed.collect(), collections.Counter(), collections.defaultdict(list)
+    for r in rows:
+        assert r["n_tokens"] == r["to_token"] - r["from_token"] > 0 and r["from_token"] >= 0 and r["to_token"] <= size[r["doc_id"]]
+        slots[r["slot"], r["source"]] += r["n_tokens"]
+        uses[r["source"], r["doc_id"], r["pass"]] += range(r["from_token"], r["to_token"])
+    assert sorted(s for s, _ in slots) == list(range(len(slots)))  # every slot is filled, by one source
+    part = collections.Counter(s for (_, s), n in slots.items() if n != 512)
+    assert all(n <= 512 for n in slots.values()) and all(part[s] <= most[s] for s in part)
+    assert all(p < most[s] and len(t) == len(set(t)) for (s, _, p), t in uses.items())
     shares = {r["source"]: r for r in report.collect()}
     for s, t in (("a", 0.5), ("b", 0.3), ("c", 0.2)):
         assert abs(shares[s]["actual_share"] - t) < 0.02
@@ -352,6 +385,14 @@ def test_mixture(spark):
     assert abs(half["a"] / sum(half.values()) - 0.5) < 0.04
 
 
+def test_shares_of_small_mixtures(spark, data):
+    mixed, report = queries._mix(spark, data)
+    rows = {r["source"]: r for r in report.collect()}
+    whole = sum(r["target_share"] for r in rows.values() if r["available_tokens"])
+    assert all(abs(r["actual_share"] - r["target_share"] / whole) < 0.005 for r in rows.values() if r["available_tokens"])
+    assert mixed.select("slot").distinct().count() == mixed.agg(F.max("slot")).first()[0] + 1
+
+
 def test_mixture_of_nothing(spark):
     targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
     mixed, report = mixture.mixture(spark.createDataFrame([(1, "a", 0), (2, "b", 9)], "doc_id long, source_key string, n_tokens long"), targets)
