@@ -1,10 +1,13 @@
 """Held-out passages inside a corpus: template windows joined by hash, then the slots and the words checked.
 
-Names, numbers and units become typed placeholders on both sides, so a copy whose names or figures were changed still
-shares its windows. The windows of the held-out items, in blocks of a bounded number of items, form a sorted hash
-table that travels to the executors; every window of every document probes it. Windows that agree with an item on
-about the same diagonal make a candidate; its words are then compared, slots are checked for one consistent
-replacement per value, and the longest dense stretch is measured against the item's length.
+Names, numbers and units become typed placeholders: in the items by their form, in documents also every word that no
+item has, as it may stand for a name. So a copy whose names or figures were changed still shares its windows. The
+windows of the items form a sorted hash table that travels to the executors; every window of every document probes it,
+in one pass over the corpus for all items that a table holds (ITEM_WORDS words of items). Windows that agree with an
+item on about the same diagonal make a candidate; its words are then compared, slots are checked for one consistent
+replacement per value, every number and unknown word counting as the value it is, and the longest dense stretch is
+measured against the item's length. Items of fewer words than a window are windows of their own length; a stretch of
+fewer than LEAST words counts only if it is the whole item.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ from pyspark.sql import functions as F
 
 from medloom.operators.units import UNITS, VOLUMES
 
-#: Words in a window; items held in one table; least part of an item's words; least part of equal words in a stretch.
-WINDOW, ITEMS, SHARE, DENSITY = 5, 5_000, 1 / 3, 0.7
+#: Words in a window; words of items held in one table (some 100 MB); least part of an item's words; least part of equal
+#: words in a stretch; words that a stretch needs unless it is the whole item.
+WINDOW, ITEM_WORDS, SHARE, DENSITY, LEAST = 5, 4_000_000, 1 / 3, 0.7, 7
 #: Diagonals this far apart may belong to one stretch: words lost or added by layout move it.
 BAND = 8
 
@@ -33,7 +37,7 @@ NUMBER_WORDS = (
 ).split()
 
 _NAME, _NUMBER, _UNIT = 1, 2, 3
-_TAG = re.compile(r"<[^<>]{0,300}>")
+_TAG = re.compile(r"<[^<>]*>")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
 _BROKEN = re.compile(r"(?<=\w)-[ \t\r]*\n[\s>|*#]*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
@@ -54,8 +58,12 @@ def plain_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _number(word: str) -> bool:
+    return word[0].isdigit() or word in NUMBER_WORDS
+
+
 class Index:
-    """Hash table of the template windows of a block of items."""
+    """Hash table of the template windows of a set of items."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW):
         self.window = window
@@ -64,12 +72,11 @@ class Index:
         capital = {p for _, t in items if t for m in _MIDDLE.findall(t) for p in _WORD.findall(m.lower())}
         small = {w for _, t in items if t for w in re.findall(r"(?<![^\s(])[a-z][^\W_]*", t)}
         names = capital - small
-        self.vocabulary = {w: k + 2 for k, w in enumerate(sorted({w for _, ws in words for w in ws}))}  # 0: no word of an item, 1: a number
+        self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in words for w in ws}))}
         units = {u for u in (*UNITS, *VOLUMES) if u.isalpha() and len(u) > 1}
-        kind = np.arange(len(self.vocabulary) + 2, dtype=np.uint64) + np.uint64(4)
-        kind[0], kind[1] = 0, _NUMBER
+        kind = np.arange(len(self.vocabulary), dtype=np.uint64) + np.uint64(4)
         for w, k in self.vocabulary.items():
-            if w[0].isdigit() or w in NUMBER_WORDS:
+            if _number(w):
                 kind[k] = _NUMBER
             elif w in units:
                 kind[k] = _UNIT
@@ -78,11 +85,21 @@ class Index:
         self.kind = kind
         self.ids = np.array([i for i, _ in words], dtype=np.int64)
         self.codes = [self.encode(w) for _, w in words]
-        self.need = np.array([max(1, int(np.ceil(len(w) * SHARE))) for _, w in words], dtype=np.int64)
+        sizes = np.array([len(w) for _, w in words], dtype=np.int64)
+        self.need = np.maximum(np.ceil(sizes * SHARE).astype(np.int64), np.minimum(sizes, LEAST))
         hashes, owner, at = [], [], []
+        windows = np.ones(len(words), np.int64)
         for n, c in enumerate(self.codes):
-            h, p = self.windows(c)
-            hashes.append(h), owner.append(np.full(len(h), n)), at.append(p)
+            width = min(window, len(c))
+            h, firm = self.windows(c, width)
+            telling = np.flatnonzero(firm >= min(2, width))
+            if len(telling) < min(3, len(h)):  # hardly a word but names and figures: all it has
+                telling = np.arange(len(h))
+            windows[n] = len(telling)
+            hashes.append(h[telling]), owner.append(np.full(len(telling), n)), at.append(telling)
+        self.widths = sorted({min(window, len(c)) for c in self.codes})
+        #: windows that must agree: three, as far as the item has them, or what the least stretch holds even where every window's length one word differs
+        self.enough = np.maximum(np.minimum(3, np.maximum(1, windows)), np.minimum(windows, self.need // window))
         joined = np.concatenate(hashes) if hashes else np.array([], np.uint64)
         order = np.argsort(joined, kind="stable")
         self.hashes, starts = np.unique(joined[order], return_index=True)
@@ -91,28 +108,39 @@ class Index:
         self.at = (np.concatenate(at) if at else np.array([], np.int64))[order].astype(np.int64)
 
     def encode(self, words: list[str]) -> np.ndarray:
+        """Place of each word in the vocabulary; others get numbers of their own below zero, even ones for figures, odd ones for words."""
         get = self.vocabulary.get
-        return np.array([get(w) or (1 if w[0].isdigit() else 0) for w in words], dtype=np.int64)
-
-    def windows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and positions of the windows made of items' words, of which at least two aren't placeholders."""
-        n = len(codes) - self.window + 1
+        codes = [get(w, -1) for w in words]
+        if -1 in codes:
+            own: dict[str, int] = {}
+            for i, c in enumerate(codes):
+                if c < 0:
+                    w = words[i]
+                    codes[i] = own.setdefault(w, -2 * len(own) - (2 if _number(w) else 3))
+        return np.array(codes, dtype=np.int64)
+
+    def kinds(self, codes: np.ndarray) -> np.ndarray:
+        unknown = np.where(codes % 2 == 0, np.uint64(_NUMBER), np.uint64(_NAME))
+        return np.where(codes < 0, unknown, self.kind[np.maximum(codes, 0)]) if len(self.kind) else unknown
+
+    def windows(self, codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every window of ``width`` words, and how many of its words aren't placeholders."""
+        n = len(codes) - width + 1
         if n <= 0:
             return np.array([], np.uint64), np.array([], np.int64)
-        kind = self.kind[codes]
-        h, known, firm = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, np.int64)
-        for k in range(self.window):
+        kind = self.kinds(codes)
+        h, firm = np.full(n, width, np.uint64), np.zeros(n, np.int64)
+        for k in range(width):
             part = kind[k : k + n]
             h = h * _PRIME + part * (part + np.uint64(0x51ED270B))
-            known &= part != 0
             firm += part > _UNIT
-        at = np.flatnonzero(known & (firm >= 2))
-        return h[at], at
+        return h, firm
 
     def find(self, text: str) -> list[tuple[int, float, float]]:
         """(item, share of its words in the longest stretch, part of its slots that are kept or consistently replaced)."""
         codes = self.encode(plain_words(text))
-        h, at = self.windows(codes)
+        each = [self.windows(codes, w)[0] for w in self.widths]
+        h, at = np.concatenate([np.array([], np.uint64), *each]), np.concatenate([np.array([], np.int64), *[np.arange(len(x)) for x in each]])
         if not len(h) or not len(self.hashes):
             return []
         place = np.searchsorted(self.hashes, h)
@@ -127,7 +155,7 @@ class Index:
         cell = item * (1 << 40) + (shift + (1 << 30)) // BAND
         cells, counts = np.unique(cell, return_counts=True)
         both = counts + np.r_[np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0), 0]
-        enough = cells[both >= np.maximum(3, self.need[cells >> 40] // self.window)]
+        enough = cells[both >= self.enough[cells >> 40]]
         found: dict[int, tuple[float, float]] = {}
         for c in enough:
             n = int(c >> 40)
@@ -146,11 +174,11 @@ class Index:
                 same[a:b] |= codes[a + s : b + s] == item[a:b]
         if np.count_nonzero(same) < DENSITY * self.need[n]:
             return None  # no stretch can be long and dense enough
-        slot, other, kind = np.zeros(len(item), bool), np.zeros(len(item), np.int64), self.kind[item]
+        slot, other, kind, kinds = np.zeros(len(item), bool), np.zeros(len(item), np.int64), self.kind[item], self.kinds(codes)
         for a, b, s in spans:
             if a < b:
                 there = codes[a + s : b + s]
-                alike = (there != item[a:b]) & (kind[a:b] <= _UNIT) & (self.kind[there] == kind[a:b])
+                alike = (there != item[a:b]) & (kind[a:b] <= _UNIT) & (kinds[a + s : b + s] == kind[a:b])
                 slot[a:b] |= alike
                 other[a:b][alike] = there[alike]
         slot &= ~same
@@ -185,18 +213,19 @@ def _finder(state) -> Callable:  # noqa: ANN001
     return find
 
 
-def leaks(documents: DataFrame, items: DataFrame, block: int = ITEMS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
     """``item_id, doc_id, share, slots_kept``: documents (``doc_id, text``) that repeat a stretch of an item (``item_id, text``).
 
     The stretch has at least SHARE of the item's words, in order, of which at least DENSITY are equal; ``share`` is its
     length over the item's. Null and empty texts on either side take no part; items of equal text are all reported.
-    Every document is read whole. Items are taken in blocks of ``block``, each a pass over the documents.
+    Every document is read whole, once for every ``item_words`` words of items.
     """
     spark = documents.sparkSession
-    blocks = max(1, -(-items.count() // block))
+    held = items.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(r"\S+"))), F.lit(0))).first()[0]
+    blocks = max(1, -(-held // item_words))
     found = None
     for b in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).select("item_id", "text").collect()  # at most about `block` items
+        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).select("item_id", "text").collect()  # about `item_words` words
         index = spark.sparkContext.broadcast(vars(Index([(r[0], r[1]) for r in rows])))
         part = documents.select("doc_id", "text").mapInArrow(_finder(index), "item_id bigint, doc_id bigint, share double, slots_kept double")
         found = part if found is None else found.unionAll(part)
