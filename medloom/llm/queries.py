@@ -128,7 +128,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return textstats.not_prose(table(spark, folder, "documents"))
+    return textstats.not_prose(table(spark, folder, "documents"), table(spark, folder, "doc_labels"))
 
 
 QUERIES = {

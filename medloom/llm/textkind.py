@@ -1,4 +1,4 @@
-"""What a text mostly is: prose, list, table or junk, decided line by line and weighed by characters."""
+"""Statistics of a text that tell prose from lists, tables and junk: numbers per document, no verdict."""
 
 from __future__ import annotations
 
@@ -19,78 +19,83 @@ NAVIGATION = frozenset(
     menu back top english hindi register subscribe rss terms privacy policy copyright loading please wait page not found click here for more""".split()
 )
 
-_WORD = re.compile(r"[^\W_][\wऀ-෿]*(?:['’-][^\W_][\wऀ-෿]*)*")
-_BULLET = re.compile(r"^\s*(?:[-*•·–—▪]\s+|o\s+|\(?(?:\d{1,4}|[a-z]{1,3}|[ivxlc]{1,6})[.)]\s+)", re.I)
-_ROW = re.compile(r"</?(?:t[rdh]|table|tbody|thead)\b", re.I)
-_PAGE = re.compile(r"^\W*page\s+\d+", re.I)
-_CODE = re.compile(r"[{}].*[=();]{2,}|[=();]{2,}.*[{}]")
-_SEPARATOR = re.compile(r"[;,|/+•·\t]")
+#: The statistics, in the order shape() gives them.
+SHAPE = (
+    "n_lines", "words_a_line", "short_lines", "flowing_lines", "marked_lines", "ended_lines", "regular_lines", "distinct_lines",
+    "common_words", "navigation_words", "distinct_words", "mean_word_length", "odd_words", "long_tokens", "symbol_ratio", "digit_ratio", "separators",
+)
+
+_MARK = re.compile(r"\s*(?:[-*•·–—▪]\s|o\s|\(?(?:\d{1,4}|[a-z]{1,3}|[ivxlc]{1,6})[.)]\s)", re.I)
 _GAPS = re.compile(r" {2,}")
+_ROW = re.compile(r"<t[rdh]\b", re.I)
 _VOWEL = re.compile(r"[aeiouyáéíóúüñ\dऀ-෿]")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~“”‘’•·–—…।"
+_SEPARATORS = ";,|/+•·\t"
+
+class _Odd(dict):
+    """Word -> whether it has no vowel, or letters mixed with digits or symbols inside. Remembered, as words repeat."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 200_000:
+            self.clear()
+        bare = word.strip(_PUNCTUATION)
+        odd = self[word] = not _VOWEL.search(bare) or not (bare.isalpha() or bare.isdigit() or bare.replace("-", "").replace("'", "").isalpha())
+        return odd
+
+
+_ODD = _Odd()
 
 
 def cells(line: str) -> tuple[str, int]:
-    """What parts the cells of a line, and their number: three at least, else ('', 1). Framed rows count as three at least."""
+    """What parts the cells of a line, and their number: three at least, else ('', 1)."""
     if "<" in line and _ROW.search(line):
         return "t", max(3, line.lower().count("<td") + line.lower().count("<th"))
-    if line.count("\t") >= 2:
-        return "\t", line.count("\t") + 1
-    s = line.strip()
-    if s.count("|") >= 2:
-        framed = s[0] == "|" and s[-1] == "|"
-        return "|", max(3, s.strip("|").count("|") + 1) if framed else s.strip("|").count("|") + 1
-    gaps = len(_GAPS.findall(s))
-    if gaps >= 2:
-        return " ", gaps + 1
-    if s.count(",") >= 2:
-        return ",", s.count(",") + 1
-    return "", 1
-
+    for mark in "\t|":
+        n = line.count(mark)
+        if n >= 2:
+            return mark, n + 1
+    n = len(_GAPS.findall(line.strip())) if "   " in line or line.count("  ") >= 2 else 0
+    if n >= 2:
+        return " ", n + 1
+    n = line.count(",")
+    return (",", n + 1) if n >= 2 else ("", 1)
 
-def line_kind(line: str, tabular: set[tuple[str, int]]) -> str:
-    """Kind of a line of a text whose table rows are of the shapes in ``tabular``."""
-    s = line.strip()
-    words = [w.lower() for w in _WORD.findall(s)]
-    n = len(words)
-    shape = cells(line) if tabular else ("", 1)
-    if not n:
-        return "table" if shape in tabular else "junk"
-    if sum(map(NAVIGATION.__contains__, words)) >= 0.75 * n or _PAGE.match(s) or ("{" in s and _CODE.search(s)):
-        return "junk"
-    function = sum(map(FUNCTION_WORDS.__contains__, words))
-    if shape in tabular and (shape[0] in "t\t|" or function < 0.12 * n):
-        return "table"
-    bullet = _BULLET.match(line) is not None
-    # one phrase over and over is no prose; long prose repeats words, but few pairs of them
-    if function >= 0.12 * n and not bullet and (n < 12 or len(set(zip(words, words[1:]))) >= 0.15 * n):
-        return "prose"
-    if bullet and function >= 0.2 * n and n >= 8:
-        return "prose"
-    inked = len(s) - s.count(" ") - s.count("\t")
-    if inked - sum(map(len, words)) - s.count(".") - s.count(",") > 0.3 * inked:
-        return "junk"
-    long_ = sum(len(w) for w in words if len(w) >= 30)
-    if long_ > 0.7 * inked:
-        return "junk"
-    if n >= 8 and sum(1 for w in words if not _VOWEL.search(w) or (not w.isalpha() and not w.isdigit() and any(c.isdigit() for c in w) and any(c.isalpha() for c in w))) > 0.25 * n:
-        return "junk"
-    if n >= 12 and len(set(words)) < 0.4 * n:
-        return "junk"
-    if n >= 12 and not bullet and len(_SEPARATOR.findall(s)) < 0.1 * n:
-        return "prose" if function >= 0.08 * n else "junk"
-    return "list"
 
+def shape(text: str) -> list[float]:
+    """SHAPE of a text, read whole; shares of lines are weighed by their characters. A text without words has zeros.
 
-def text_kind(text: str) -> str:
-    """The kind that most characters of the text's lines have; junk for a text without a line."""
-    lines = [x for x in text.splitlines() if x.strip()]
+    Ratios come in thousandths and counts with three digits, which is what their ranks are exact for.
+    """
+    lines = [(x, s) for x in text.splitlines() if (s := x.strip())]
     if not lines:
-        return "junk"
-    if len(lines) >= 4 and len({x.strip().lower() for x in lines}) <= 0.3 * len(lines):
-        return "junk"
-    shapes = Counter(c for c in map(cells, lines) if c[1] >= 3)
-    tabular = {c for c, m in shapes.items() if m >= 3 or (m >= 2 and c[0] in "t\t|")}
-    weight: Counter[str] = Counter()
-    for x in lines:
-        weight[line_kind(x, tabular)] += len(x.strip())
-    return max(("prose", "list", "table", "junk"), key=lambda k: weight[k])
+        return [0.0] * len(SHAPE)
+    size = short = flowing = marked = ended = 0
+    words: list[str] = []
+    common = 0
+    forms: Counter[tuple[str, int]] = Counter()
+    for line, s in lines:
+        n = len(s)
+        mine = s.lower().split()
+        known = sum(map(FUNCTION_WORDS.__contains__, mine))
+        words += mine
+        common += known
+        size += n
+        short += n * (len(mine) <= 8)
+        flowing += n * (known >= 0.12 * len(mine))
+        marked += n * (_MARK.match(line) is not None)
+        ended += s[-1] in ".!?।"
+        form = cells(line)
+        if form[1] > 1:
+            forms[form] += n
+    n, most = len(words), max(forms.values(), default=0)
+    sizes = list(map(len, words))
+    ink = sum(sizes)
+    symbols = sum(map(text.count, _PUNCTUATION))
+    digits = sum(map(text.count, "0123456789"))
+    ratio = lambda a, b: round(a / b, 3) if b else 0.0
+    count = lambda x: float(f"{x:.3g}")
+    return [
+        count(len(lines)), count(n / len(lines)), ratio(short, size), ratio(flowing, size), ratio(marked, size), ratio(ended, len(lines)), ratio(most, size), ratio(len({s for _, s in lines}), len(lines)),
+        ratio(common, n), ratio(sum(map(NAVIGATION.__contains__, words)), n), ratio(len(set(words)), n), count(ink / n),
+        ratio(sum(map(_ODD.__getitem__, words)), n), ratio(sum(x for x in sizes if x >= 30), ink), ratio(symbols, ink), ratio(digits, ink), count(sum(map(text.count, _SEPARATORS)) / n),
+    ]
