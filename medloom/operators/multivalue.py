@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import scale
-from medloom.functions.columns import SPACE, bound, squeeze
+from medloom.functions.columns import SPACE, bound
 
 #: Characters and words that stand between two values, and pairs that protect what is between them.
 DELIMITERS = "+＋&/|;,\t\n\r"
@@ -27,13 +27,17 @@ _WORD = rf"[^{_SPECIAL}{_BLANK[1:-1]}\u0001]+"
 _JOIN = rf"(?i)(?<={SPACE})(?:{'|'.join(JOINERS)})(?={SPACE})"
 _TOKEN = rf"(?i)(?<={SPACE})(?:{'|'.join(JOINERS)})(?={SPACE})|{_WORD}(?:{_BLANK}+(?!(?:{'|'.join(JOINERS)}){SPACE}){_WORD})*|{_BLANK}+|[{_SPECIAL}\u0001]"
 _CANDIDATE = rf"[+\uff0b&/|;,\t\n\r]|{_JOIN}"
-_EDGE = r"^[\x22\u201c\u201d'.,;:\s\u00a0]+|[\x22\u201c\u201d'.,;:\s\u00a0]+$"
+_EDGE = "\"\u201c\u201d'.,;: \t\n\x0b\x0c\r"
+
+
+def plain_blanks(text: Column) -> Column:
+    """Runs of blanks as one; tabs and line ends, which may part values, stay."""
+    return F.regexp_replace(text, _BLANK + "+", " ")
 
 
 def skeleton(text: Column) -> Column:
-    """One character per token: 'a' for words, \\u0001 for a joining word, blank for blanks, else the character itself."""
-    joined = F.regexp_replace(text, _JOIN, "\u0001")
-    return F.regexp_replace(F.regexp_replace(joined, rf"{_WORD}(?:{_BLANK}+{_WORD})*", "a"), _BLANK + "+", " ")
+    """One character per token of a text with plain blanks: 'a' for words, \\u0001 for a joining word, else the character itself."""
+    return F.regexp_replace(F.regexp_replace(text, _JOIN, "\u0001"), rf"{_WORD}(?: {_WORD})*", "a")
 
 
 def spans(shape: str) -> list[tuple[int, int]]:
@@ -81,8 +85,9 @@ def splitting_rules(skeletons: DataFrame) -> DataFrame:
 
 
 def clean(value: Column) -> Column:
-    """Whitespace runs as one blank; outer blanks, quotes and . , ; : removed; case kept."""
-    return F.regexp_replace(squeeze(value), _EDGE, "")
+    """Whitespace runs as one blank; outer blanks, quotes and . , ; : removed; case kept. For texts with plain blanks."""
+    flat = F.translate(value, "\t\n\r", "   ")  # only what quotes and brackets held
+    return F.btrim(F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " +", " ")).otherwise(flat), F.lit(_EDGE))
 
 
 def extract(text: Column, starts: Column, lengths: Column) -> Column:
@@ -103,14 +108,14 @@ def split_fields(rows: DataFrame, key: str, fields: list[str], limit: int = scal
     asked = [F.struct(F.lit(f).alias("f"), (F.col(f"`{f}`") if kinds[f].startswith("array") else F.array(f"`{f}`")).alias("v")) for f in fields]
     row = F.monotonically_increasing_id()
     listed = rows.select(F.col(f"`{key}`").alias("k"), row.alias("r"), F.explode(F.filter(F.array(*asked), lambda s: F.exists(s["v"], lambda e: e.rlike(_CANDIDATE)))).alias("s"))
+    # skeletons are found once and written beside the texts, as both the rules and the cut ask for them
+    elements = listed.select("k", "r", F.col("s.f").alias("f"), F.size("s.v").alias("n"), F.posexplode("s.v").alias("o", "e")).filter(F.col("e").isNotNull())
+    elements = scale.materialize(elements.select("k", "r", "f", "n", "o", plain_blanks(F.col("e")).alias("e")).withColumn("skeleton", skeleton(F.col("e"))))
+    rules = scale.materialize(splitting_rules(elements))
     # one element needs no regrouping; arrays of more are put together again after the join
-    single = listed.filter(F.size("s.v") == 1).select("k", F.col("s.f").alias("f"), F.element_at("s.v", 1).alias("e"))
-    several = listed.filter(F.size("s.v") > 1).select("k", "r", F.col("s.f").alias("f"), F.posexplode("s.v").alias("o", "e"))
-    several = several.filter(F.col("e").isNotNull())
-    shapes = single.select(skeleton(F.col("e")).alias("skeleton")).unionAll(several.select(skeleton(F.col("e")).alias("skeleton")))
-    rules = scale.materialize(splitting_rules(shapes))
+    single, several = elements.filter("n = 1").select("k", "f", "e", "skeleton"), elements.filter("n > 1").select("k", "r", "f", "o", "e", "skeleton")
     values = extract(F.col("e"), F.col("starts"), F.col("lengths"))
-    cut = lambda df: scale.lookup_join(df.withColumn("skeleton", skeleton(F.col("e"))), rules, ["skeleton"], limit=limit).withColumn("vs", values)
+    cut = lambda df: scale.lookup_join(df, rules, ["skeleton"], limit=limit).withColumn("vs", values)
     alone = cut(single).filter(F.size("vs") > 1).select("k", "f", "vs")
     grouped = (
         cut(several)
