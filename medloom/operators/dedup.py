@@ -79,3 +79,20 @@ def roadmap(official: DataFrame, listings: DataFrame) -> DataFrame:
         "number", F.coalesce("o.date", "d").alias("notification_date"), F.coalesce("o.url", F.lit("")).alias("source_url"),
         F.coalesce("drugs", empty).alias("drugs"), F.coalesce("sources", empty).alias("sources"),
     ).orderBy("number")
+
+
+def statistics(official: DataFrame, unofficial: DataFrame, ayush_fssai: DataFrame, documents: DataFrame, processed: DataFrame, reviews: DataFrame) -> DataFrame:
+    """A4. The ten figures of the tables in one row; each table is counted in one pass."""
+    one = lambda df, **counts: df.agg(*[c.alias(n) for n, c in counts.items()])
+    every = F.count("*")
+    parts = [
+        one(official, total_banned_medicines=every, fdc_count=F.count_if("is_fdc"), single_ingredient_count=every - F.count_if("is_fdc")),
+        one(unofficial, total_unofficial_medicines=every), one(ayush_fssai, total_ayush_fssai_medicines=every), one(documents, total_source_documents=every),
+        one(processed, total_processed_notifications=every, downloaded_notifications=F.count_if(F.col("download_status") == "downloaded"), parsed_notifications=F.count_if(F.col("parsing_status") == "parsed")),
+        one(reviews, pending_manual_reviews=F.count_if(F.col("status") == "pending")),
+    ]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.crossJoin(p)  # one row each
+    names = ["total_banned_medicines", "total_unofficial_medicines", "total_ayush_fssai_medicines", "total_source_documents", "total_processed_notifications", "downloaded_notifications", "parsed_notifications", "pending_manual_reviews", "fdc_count", "single_ingredient_count"]
+    return whole.select(*names)

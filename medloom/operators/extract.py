@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom import lexicon
+from medloom import lexicon, scale
 from medloom.functions.columns import bound, squeeze
 from medloom.functions.text import extract_date, extract_form, extract_number, extract_reason, extract_strength, split_combination, strip
 
@@ -16,8 +16,14 @@ NO_ENTRIES, UNREADABLE = "[NO ENTRIES FOUND]", "[UNREADABLE PDF]"
 
 
 def _without(text: Column, part: Column) -> Column:
-    """All occurrences of a part gone, whatever their case."""
-    return F.when(part.isNull(), text).otherwise(strip(F.regexp_replace(text, F.concat(F.lit(r"(?i)\Q"), part, F.lit(r"\E")), F.lit(""))))
+    """All occurrences of a part gone, whatever their case.
+
+    Only where some are written in another case than the part, a pattern of the row's own has to be compiled.
+    """
+    gone = F.replace(text, part, F.lit(""))
+    left = F.contains(F.lower(gone), F.lower(part))
+    alike = F.char_length(F.replace(F.lower(text), F.lower(part), F.lit(""))) == F.char_length(gone)
+    return F.when(part.isNull() | (part == ""), text).when(~left & alike, strip(gone)).otherwise(strip(F.regexp_replace(text, F.concat(F.lit(r"(?i)\Q"), part, F.lit(r"\E")), F.lit(""))))
 
 
 def _entries(lines: Column, serial: bool) -> Column:
@@ -65,7 +71,7 @@ def entries(documents: DataFrame) -> DataFrame:
     without any, one placeholder. A null text gives the placeholder of an unreadable file.
     """
     # the document's own values are found before its entries are exploded, once a document
-    rows = documents.select(
+    rows = scale.spread(documents.select("doc_id", "text")).select(
         "doc_id", "text", numbered_rows(F.col("text")).alias("t1"), combination_lines(F.col("text")).alias("t2"),
         extract_number(F.col("text")).alias("notification_number"), extract_date(F.col("text")).alias("notification_date"), extract_reason(F.col("text")).alias("ban_reason"),
     )

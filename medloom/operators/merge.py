@@ -136,3 +136,8 @@ class Snapshots:
     def drop(self) -> None:
         """M7/K7. The table and all its snapshots gone."""
         self._fs.delete(self._path(self.path), True)
+
+
+def to_fetch(rows: DataFrame, file_valid: Column, force: bool = False) -> DataFrame:
+    """P12. Rows whose file has to be fetched: all of them by ``force``, else those not downloaded into a valid file."""
+    return rows if force else rows.filter(~F.coalesce((F.col("download_status") == "downloaded") & file_valid, F.lit(False)))

@@ -14,6 +14,8 @@ from medloom.tables import table
 
 AS_OF = "2024-06-30"
 NOW = "2025-01-01 00:00:00"
+#: Ingredients that P10's rows must all have.
+WANTED = ("Dembrundirquel",)
 _OUT = {"unofficial_medicines": "unofficial", "ayush_fssai_medicines": "ayush_fssai"}
 
 
@@ -79,8 +81,9 @@ def ref_p9_like_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_p10_contains(spark: SparkSession, folder: str) -> DataFrame:
+    """Containment: rows whose ingredients hold all of a wanted set."""
     rows = table(spark, folder, "banned_medicines")
-    return rows.filter(F.exists("ingredients", lambda x: F.contains(F.lower(x), F.lit("potassium")))).select("id", F.size("ingredients").alias("n_ingredients"))
+    return rows.filter(F.size(F.array_except(F.array(*map(F.lit, WANTED)), "ingredients")) == 0).select("id", F.size("ingredients").alias("n_ingredients"))
 
 
 def ref_p11_not_seen(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,8 +92,9 @@ def ref_p11_not_seen(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_p12_to_fetch(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "notifications_processed")
-    return rows.filter(~F.coalesce((F.col("download_status") == "downloaded") & F.col("pdf_path").isNotNull(), F.lit(False))).select("id", "notification_number")
+    """All that isn't downloaded into a file that is there; the valid files are those whose name says what they are."""
+    rows = table(spark, folder, "notifications_processed").withColumn("file_valid", F.coalesce(F.lower("pdf_path").endswith(".pdf"), F.lit(False)))
+    return merge.to_fetch(rows, F.col("file_valid")).select("id", "notification_number")
 
 
 # ---- deduplication and aggregates
@@ -120,12 +124,10 @@ def ref_a3_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_a4_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    official = table(spark, folder, "banned_medicines").agg(F.count("*").alias("total"), F.count_if("is_fdc").alias("fdc"), F.count_if(~F.col("is_fdc")).alias("single"))
-    processed = table(spark, folder, "notifications_processed").agg(
-        F.count("*").alias("notifications"), F.count_if(F.col("download_status") == "downloaded").alias("downloaded"), F.count_if(F.col("parsing_status") == "parsed").alias("parsed"), F.count_if(F.col("parsing_status") == "failed").alias("failed")
-    )
-    others = [table(spark, folder, n).agg(F.count("*").alias(a)) for n, a in _OUT.items()]
-    return official.crossJoin(processed).crossJoin(others[0]).crossJoin(others[1])  # one row each
+    """The ten figures; documents are the source documents, failed parses wait for review."""
+    named = {n: table(spark, folder, n) for n in ("banned_medicines", "unofficial_medicines", "ayush_fssai_medicines", "notifications_processed")}
+    reviews = named["notifications_processed"].select(F.when(F.col("parsing_status") == "failed", "pending").alias("status"))
+    return dedup.statistics(named["banned_medicines"], named["unofficial_medicines"], named["ayush_fssai_medicines"], table(spark, folder, "documents"), named["notifications_processed"], reviews)
 
 
 def ref_a5_roadmap(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,15 +209,6 @@ def _first_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ref_m1_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """The official rows of even ids, one a key, after a batch of all rows of ids that 3 divides."""
-    rows = _medicines(spark, folder, "banned_medicines")
-    target = _first_rows(rows.filter("id % 2 = 0"), merge.MEDICINE_KEY)
-    batch = rows.filter("id % 3 = 0").withColumn("seq", F.col("id"))
-    out = merge.upsert(target, batch, merge.MEDICINE_KEY, ["notification_date", "ban_reason", "source_pdf"], "seq", F.lit(NOW).cast("timestamp"))
-    return out.select(*merge.MEDICINE_KEY, "notification_date", "ban_reason", "source_pdf", "outcome")
-
-
-def ref_m1_upsert_all(spark: SparkSession, folder: str) -> DataFrame:
     """The official rows of even ids, one a key, after a batch of all rows."""
     rows = _medicines(spark, folder, "banned_medicines")
     target = _first_rows(rows.filter("id % 2 = 0"), merge.MEDICINE_KEY)
@@ -289,9 +282,9 @@ def ref_o2_of_number(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_o5_latest_per_number(spark: SparkSession, folder: str) -> DataFrame:
-    w = Window.partitionBy("number").orderBy(F.col("last_updated").desc(), "id")
+    """As an aggregate that combines before the shuffle: a number of many rows is no task of its own."""
     rows = table(spark, folder, "banned_medicines").select("id", "last_updated", normalize_number(F.col("notification_number")).alias("number")).filter("number is not null")
-    return rows.withColumn("place", F.row_number().over(w)).filter("place = 1").select("number", "id")
+    return rows.groupBy("number").agg(F.max_by("id", F.struct("last_updated", -F.col("id"))).alias("id"))
 
 
 def ref_o6_until_successes(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,11 +320,11 @@ def ref_u4_difference(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_k1_export(spark: SparkSession, folder: str) -> DataFrame:
-    return export_rows(table(spark, folder, "unofficial_medicines"), [c for c in EXPORT_10 if c != "date_added"])
+    return export_rows(table(spark, folder, "unofficial_medicines"), EXPORT_10)
 
 
 def ref_k2_export(spark: SparkSession, folder: str) -> DataFrame:
-    return export_rows(table(spark, folder, "banned_medicines"), [c for c in EXPORT_13 if c != "date_added"])
+    return export_rows(table(spark, folder, "banned_medicines"), EXPORT_13)
 
 
 def ref_k6_file_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -448,14 +441,16 @@ def _sql_export(columns: list[str], name: str) -> str:
         elif c == "is_fdc":
             parts.append("CASE WHEN is_fdc THEN 'True' WHEN NOT is_fdc THEN 'False' ELSE '' END AS is_fdc")
         else:
-            parts.append(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}")
+            whole = f"make_timestamp(epoch_us({c}))"
+            stamp = f"strftime({whole}, '%Y-%m-%d %H:%M:%S') || CASE WHEN epoch_us({c}) % 1000000 = 0 THEN '' ELSE strftime({whole}, '.%f') END || '+00:00'"
+            parts.append(f"coalesce({stamp if c == 'date_added' else f'CAST({c} AS VARCHAR)'}, '') AS {c}")
     return f"SELECT {', '.join(parts)} FROM {name}"
 
 
 _M1 = f"""
     WITH r AS (SELECT id, {_MKEY}, notification_date, ban_reason, source_pdf FROM banned_medicines),
     t AS (SELECT * FROM r WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY {_MKEY} ORDER BY id) = 1),
-    s AS (SELECT {_MKEY}, {_sql_last('notification_date')} AS notification_date, {_sql_last('ban_reason')} AS ban_reason, {_sql_last('source_pdf')} AS source_pdf FROM r WHERE id % 3 = 0 GROUP BY ALL),
+    s AS (SELECT {_MKEY}, {_sql_last('notification_date')} AS notification_date, {_sql_last('ban_reason')} AS ban_reason, {_sql_last('source_pdf')} AS source_pdf FROM r GROUP BY ALL),
     m AS (SELECT t.id AS tid, s.f AS f, {', '.join(f't.{k} AS t_{k}, s.{k} AS s_{k}' for k in [*merge.MEDICINE_KEY, 'notification_date', 'ban_reason', 'source_pdf'])} FROM t FULL JOIN (SELECT *, 1 AS f FROM s) s ON {_SAME})
     SELECT {', '.join(f'CASE WHEN tid IS NULL THEN s_{k} ELSE t_{k} END AS {k}' for k in merge.MEDICINE_KEY)}, coalesce(s_notification_date, t_notification_date) AS notification_date,
       coalesce(s_ban_reason, t_ban_reason) AS ban_reason, coalesce(s_source_pdf, t_source_pdf) AS source_pdf, CASE WHEN tid IS NULL THEN 'inserted' WHEN f IS NOT NULL THEN 'updated' ELSE 'kept' END AS outcome FROM m"""
@@ -497,9 +492,9 @@ SQL = {
     "ref_p6_not_names": f"WITH {_SQL_NAMES} SELECT id, generic_name FROM n WHERE {_LOW} IN ({_quoted(lexicon.NOT_NAMES)})",
     "ref_p7_equality": "SELECT id, notification_number, parsing_status FROM notifications_processed WHERE download_status = 'downloaded' AND error_message IS NULL",
     "ref_p9_like_split": "SELECT id, source_pdf FROM banned_medicines WHERE (source_pdf LIKE '%drugwatch%' OR source_pdf LIKE '%medlist%') AND NOT source_pdf LIKE '%old-%'",
-    "ref_p10_contains": "SELECT id, CAST(len(ingredients) AS INTEGER) AS n_ingredients FROM banned_medicines WHERE len(list_filter(ingredients, lambda x: contains(lower(x), 'potassium'))) > 0",
+    "ref_p10_contains": "SELECT id, CAST(len(ingredients) AS INTEGER) AS n_ingredients FROM banned_medicines WHERE list_has_all(ingredients, [" + ", ".join(f"'{w}'" for w in WANTED) + "])",
     "ref_p11_not_seen": "SELECT id, source_url FROM banned_medicines WHERE source_url IS NOT NULL AND source_url NOT IN (SELECT source_url FROM notifications_processed WHERE source_url IS NOT NULL)",
-    "ref_p12_to_fetch": "SELECT id, notification_number FROM notifications_processed WHERE NOT coalesce(download_status = 'downloaded' AND pdf_path IS NOT NULL, false)",
+    "ref_p12_to_fetch": "SELECT id, notification_number FROM notifications_processed WHERE NOT coalesce(download_status = 'downloaded' AND lower(pdf_path) LIKE '%.pdf', false)",
     "ref_a1_first_wins": f"SELECT id, generic_name, dosage_form, source_pdf FROM banned_medicines QUALIFY row_number() OVER (PARTITION BY {_LOW} ORDER BY id) = 1",
     "ref_a2_merged_sources": f"""
         WITH p AS (SELECT notification_number, doc_id, source, unnest(list_filter(list_transform(string_split(source, ','), lambda s: {sql_strip('s')}), lambda s: s <> '')) AS s, 1 AS p FROM documents),
@@ -514,9 +509,11 @@ SQL = {
         SELECT id, generic_name, j AS source FROM (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY k ORDER BY id) = 1) b LEFT JOIN j ON b.k IS NOT DISTINCT FROM j.k""",
     "ref_a3_counts": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in ("banned_medicines", "unofficial_medicines", "ayush_fssai_medicines", "notifications_processed")),
     "ref_a4_statistics": """
-        SELECT * FROM (SELECT count(*) AS total, count(*) FILTER (WHERE is_fdc) AS fdc, count(*) FILTER (WHERE NOT is_fdc) AS single FROM banned_medicines),
-          (SELECT count(*) AS notifications, count(*) FILTER (WHERE download_status = 'downloaded') AS downloaded, count(*) FILTER (WHERE parsing_status = 'parsed') AS parsed, count(*) FILTER (WHERE parsing_status = 'failed') AS failed FROM notifications_processed),
-          (SELECT count(*) AS unofficial FROM unofficial_medicines), (SELECT count(*) AS ayush_fssai FROM ayush_fssai_medicines)""",
+        SELECT b.n AS total_banned_medicines, (SELECT count(*) FROM unofficial_medicines) AS total_unofficial_medicines, (SELECT count(*) FROM ayush_fssai_medicines) AS total_ayush_fssai_medicines,
+          (SELECT count(*) FROM documents) AS total_source_documents, p.n AS total_processed_notifications, d AS downloaded_notifications, g AS parsed_notifications, w AS pending_manual_reviews,
+          f AS fdc_count, b.n - f AS single_ingredient_count
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE is_fdc) AS f FROM banned_medicines) b,
+          (SELECT count(*) AS n, count(*) FILTER (WHERE download_status = 'downloaded') AS d, count(*) FILTER (WHERE parsing_status = 'parsed') AS g, count(*) FILTER (WHERE parsing_status = 'failed') AS w FROM notifications_processed) p""",
     "ref_a5_roadmap": f"""
         WITH o AS (SELECT {sql_number('notification_number')} AS number, notification_date AS date, source_url AS url, id FROM notifications_processed),
         k AS (SELECT number, date, url FROM o WHERE number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY number ORDER BY id DESC) = 1),
@@ -564,8 +561,8 @@ SQL = {
         SELECT id, list_sort(list_distinct(list_transform(string_split(generic_name, '+'), lambda x: {sql_strip('lower(x)')}))) = list_sort(list_distinct(list_transform(ingredients, lambda x: {sql_strip('lower(x)')}))) AS same
         FROM banned_medicines WHERE ingredients IS NOT NULL AND generic_name IS NOT NULL""",
     "ref_u4_difference": f"SELECT DISTINCT {sql_number('notification_number')} AS number FROM unofficial_medicines WHERE number IS NOT NULL EXCEPT SELECT {sql_number('notification_number')} FROM banned_medicines",
-    "ref_k1_export": _sql_export([c for c in EXPORT_10 if c != "date_added"], "unofficial_medicines"),
-    "ref_k2_export": _sql_export([c for c in EXPORT_13 if c != "date_added"], "banned_medicines"),
+    "ref_k1_export": _sql_export(EXPORT_10, "unofficial_medicines"),
+    "ref_k2_export": _sql_export(EXPORT_13, "banned_medicines"),
     "ref_k6_file_names": r"SELECT doc_id, substring(regexp_replace(regexp_replace(url, '[<>:\x22/\\|?*]', '_', 'g'), '\s+', '_', 'g'), 1, 200) || '.pdf' AS file_name FROM documents WHERE url IS NOT NULL",
 }
 SQL["ref_r2_validity"] = f"SELECT is_valid, count(*) AS n, CAST(sum(CASE WHEN errors = '' THEN 0 ELSE len(string_split(errors, ' ; ')) END) AS BIGINT) AS n_errors FROM ({SQL['ref_p4_validate']}) GROUP BY 1"

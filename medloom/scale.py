@@ -7,6 +7,7 @@ per hot key (at most ``1 / share`` of them) or per fixed-size bucket.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -45,7 +46,24 @@ def materialize(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete materialized tables whose last reader is done. Other tables stay."""
+    for table in tables:
+        path = getattr(table, "_written_to", None)
+        if path is not None:
+            where = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let shuffle files go that finished steps have left: Spark deletes them once the driver has collected what refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:
@@ -53,6 +71,12 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a small file would keep few of them busy; tables of as many partitions stay as they are."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def byte_size(df: DataFrame) -> int:
     """Bytes of all values, as text or fixed width; exact, one pass over an already materialized table."""
     width = F.lit(8)

@@ -74,12 +74,15 @@ def _pdf_texts(contents: pd.Series) -> pd.Series:
 
 
 def export_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """K1/K2. Columns as text: arrays joined with ', ', booleans as True/False, null as ''."""
+    """K1/K2. Columns as text: arrays joined with ', ', booleans as True/False, times with offset and, if any, six digits of a second; null as ''."""
 
     def text(name: str) -> Column:
         if name not in df.columns:
             return F.lit("").alias(name)
         kind, c = dict(df.dtypes)[name], F.col(name)
+        if kind == "timestamp":
+            whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.concat(whole, F.when(F.pmod(F.unix_micros(c), F.lit(1_000_000)) == 0, "").otherwise(F.date_format(c, ".SSSSSS")), F.date_format(c, "xxx"))
         c = F.array_join(c, ", ") if kind.startswith("array") else F.initcap(c.cast("string")) if kind == "boolean" else c.cast("string")
         return F.coalesce(c, F.lit("")).alias(name)
 

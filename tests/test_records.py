@@ -156,6 +156,6 @@ def test_upsert_query_takes_all_rows(spark, data):
             even.add(key)
         row = last.setdefault(key, dict.fromkeys(values))
         row.update({v: r[v] for v in values if r[v] is not None})
-    rows = records.QUERIES["ref_m1_upsert_all"](spark, data).collect()
+    rows = records.QUERIES["ref_m1_upsert"](spark, data).collect()
     got = {tuple(r[k] for k in merge.MEDICINE_KEY): ({v: r[v] for v in values}, r["outcome"]) for r in rows}
     assert got == {k: (x, "updated" if k in even else "inserted") for k, x in last.items()} and len(rows) == len(last)
