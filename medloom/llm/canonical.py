@@ -8,14 +8,13 @@ on across partitions are joined by the partitions' first and last keys, one row
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom import scale
@@ -105,16 +104,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if last_key is not None:
         yield _rows(part, 1, np.array([first_id]), np.array([count]), np.array([head]))
         yield pa.RecordBatch.from_pydict(
-            {"part": [part], "kind": [2], "first_id": [lo_first], "value": [first_id], "head": [head], "lo": [_border(lo_key)], "hi": [_border(last_key)]},
+            {"part": [part], "kind": [2], "first_id": [lo_first], "value": [first_id], "head": [head], "lo": [lo_key], "hi": [last_key]},
             schema=_SCHEMA,
         )
 
 
-def _border(key: str) -> str:
-    """What stands for a key at a partition's border: itself, or if it is long its length and SHA-256, as these go to the driver."""
-    return key if len(key) <= 1_024 else f"{len(key)}:{hashlib.sha256(key.encode()).hexdigest()}"
-
-
 _SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("first_id", pa.int64()), ("value", pa.int64()), ("head", pa.bool_()), ("lo", pa.string()), ("hi", pa.string())])
 
 
@@ -129,16 +123,19 @@ def _rows(part: int, kind: int, first: np.ndarray, value: np.ndarray, head: np.n
 def _runs(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The scan's rows, and for each partition whose first run began earlier the id it began with."""
     spark = keyed.sparkSession
-    ordered = keyed.select("key", "id").repartitionByRange(scale.partitions(spark), "key", "id").sortWithinPartitions("key", "id")
+    keyed = scale.materialize(keyed.select("key", "id"))  # written once, as finding the ranges reads it as well
+    ordered = keyed.repartitionByRange(scale.partitions(spark), "key", "id").sortWithinPartitions("key", "id")
     scanned = scale.materialize(ordered.mapInArrow(_scan, "part int, kind int, first_id bigint, value bigint, head boolean, lo string, hi string"))
-    borders = scanned.filter("kind = 2").orderBy("part").collect()  # one row a partition
-    carried, before = [], None
-    for b in borders:
-        origin = before[1] if before is not None and before[0] == b["lo"] else None
+    # keys are compared in full where they lie; the driver gets the answers, one row a partition
+    before = F.lag("hi").over(Window.orderBy("part"))
+    borders = scanned.filter("kind = 2").select("part", "value", (F.col("lo") == F.col("hi")).alias("single"), F.coalesce(before == F.col("lo"), F.lit(False)).alias("goes_on"), "first_id")
+    carried, last = [], None
+    for b in borders.orderBy("part").collect():
+        origin = last if b["goes_on"] else None
         if origin is not None:
             carried.append((b["part"], origin))
         # a partition that is one run passes on what it got
-        before = (b["hi"], origin if origin is not None and b["lo"] == b["hi"] else b["value"])
+        last = origin if origin is not None and b["single"] else b["value"]
     return scanned, spark.createDataFrame(carried, "part int, origin bigint")
 
 

@@ -31,13 +31,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_copy_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """One official record per set of copies, with its fields and the number of copies."""
-    rows = table(spark, folder, "banned_medicines").select(F.col("id").alias("first_id"), "generic_name", "notification_number")
-    return canonical.representatives(_keyed(spark, folder, "banned_medicines")).join(rows, "first_id")
-
-
-def p1_copy_counts_all(spark: SparkSession, folder: str) -> DataFrame:
-    """As p1_copy_counts, of both tables."""
+    """One record per set of copies of either table, with its fields and the number of copies."""
     found = None
     for name in ("banned_medicines", "unofficial_medicines"):
         rows = table(spark, folder, name).select(F.col("id").alias("first_id"), "generic_name", "notification_number")
@@ -73,15 +67,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     forms = table(spark, folder, "dosage_forms").select(F.col("form_id").alias("ref_id"), F.col("form_name").alias("name"))
-    written = spark.createDataFrame([(f, a) for f, names in setjoin.ALIASES.items() for a in names], "name string, alias string")
-    aliases = forms.join(written, "name").select("ref_id", F.col("alias").alias("name"), F.lit(False).alias("main"))
-    others = spark.createDataFrame([(0, n, False) for n in setjoin.NOT_FORMS], "ref_id bigint, name string, main boolean")
-    references = forms.withColumn("main", F.lit(True)).unionByName(aliases).unionByName(others)
     rows = None
     for name in ("banned_medicines", "unofficial_medicines"):
         part = table(spark, folder, name).select(F.lit(name).alias("table_name"), "id", "dosage_form")
         rows = part if rows is None else rows.unionAll(part)
-    return setjoin.map_to_list(rows, ["table_name", "id"], "dosage_form", references).withColumnRenamed("ref_id", "form_id")
+    return setjoin.map_to_list(rows, ["table_name", "id"], "dosage_form", forms).withColumnRenamed("ref_id", "form_id")
 
 
 def _links(spark: SparkSession, folder: str) -> linkage.Links:
@@ -132,6 +122,6 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p1_copy_counts_all": p1_copy_counts_all, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches,
+    "p1_found": p1_found, "p1_copy_counts": p1_copy_counts, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches,
     "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_statistics": p10_statistics,
 }

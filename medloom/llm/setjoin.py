@@ -1,7 +1,7 @@
 """Free-typed values mapped to a canonical list: set-similarity join with prefix, length and positional filters.
 
 A value is the set of its letters and of the letter pairs of its words, so typing errors change few tokens and the
-order of words none. Tokens are ordered by global rarity; only the rare prefix that two sets of sufficient Jaccard
+order of words none. Abbreviations are made from the list by rule, as further names of its entries. Tokens are ordered by global rarity; only the rare prefix that two sets of sufficient Jaccard
 similarity must share is joined, candidates are thinned by length and position, verified exactly, and the best is kept.
 """
 
@@ -16,47 +16,19 @@ from medloom.functions.columns import SPACE, bound, squeeze
 #: Least Jaccard similarity of a match: one wrong, missing, doubled or swapped letter in a word of five is 0.57.
 THRESHOLD = 0.55
 
-#: What is written for a form besides its name.
-ALIASES = {
-    "Tablet": ["tab", "tabs", "tabl", "tblt", "tbl", "tablets"],
-    "Capsule": ["cap", "caps", "cpsl", "capsules"],
-    "Syrup": ["syr", "syp", "sirup", "syrups"],
-    "Oral Suspension": ["susp", "suspension", "oral susp", "oral suspensions", "suspensions"],
-    "Injection": ["inj", "injctn", "injectable", "injections", "injectables"],
-    "Cream": ["crm", "creams"],
-    "Ointment": ["oint", "oinment", "ointments"],
-    "Gel": ["gels"],
-    "Eye Drops": ["eye drop", "eye drps", "ophthalmic drops", "ophthalmic drop", "eyedrops"],
-    "Ear Drops": ["ear drop", "ear drps", "otic drops", "otic drop", "eardrops"],
-    "Nasal Spray": ["nasal spr", "nose spray", "intranasal spray", "nasal sprays"],
-    "Lotion": ["lotn", "lotions"],
-    "Oral Powder": ["oral pwd", "oral pwdr", "oral powders"],
-    "Oral Solution": ["oral soln", "oral sol", "oral solutions"],
-    "Inhaler": ["inh", "inhalr", "inhalers", "inhalation"],
-    "Transdermal Patch": ["patch", "patches", "td patch", "transdermal patches"],
-    "Suppository": ["supp", "suppos", "suppositories"],
-    "Infusion": ["infusn", "infusions", "infusion solution"],
-    "Emulsion": ["emul", "emuls", "emulsions", "oral emulsion"],
-    "Lozenge": ["loz", "lozng", "lozenges"],
-    "Granules": ["gran", "grans", "granule"],
-    "Elixir": ["elix", "elixer", "elixirs"],
-    "Mouthwash": ["mouth wash", "mouth rinse", "m wash", "mouthwashes", "mouthrinse"],
-    "Shampoo": ["shampu", "shampoos", "medicated shampoo"],
-    "Pessary": ["pess", "pessaries"],
-    "Liniment": ["lin", "linimnt", "liniments"],
-    "Chewing Gum": ["gum", "chew gum", "chewing gums", "medicated chewing gum"],
-    "Medicated Soap": ["soap", "soaps", "med soap", "medicated soaps"],
-    "Nebuliser Solution": ["nebules", "neb soln", "neb sol", "nebuliser soln", "nebulizer solution", "nebulizer soln", "nebulising solution"],
-    "Dusting Powder": ["dust powder", "dusting pwdr", "dusting powders"],
+#: Other words for a word of a form's name.
+SYNONYMS = {
+    "eye": ("ophthalmic",), "ear": ("otic",), "nasal": ("nose", "intranasal"), "mouthwash": ("mouth wash", "mouth rinse"), "inhaler": ("inhalation",), "injection": ("injectable",),
+    "nebuliser": ("nebulizer",), "syrup": ("sirup",),
 }
 
-#: What is written in the field and names no form; as entries of their own they keep similar forms away.
-NOT_FORMS = ("batch", "pack", "form", "item", "carton", "kit", "device", "label", "sr no", "hsn", "misc", "various", "unknown", "test strip", "material", "raw material", "drug", "premix", "as directed")
+#: Shortest abbreviation; words of a name up to which all of them are abbreviated together.
+SHORTEST, PRODUCT = 3, 3
 
 #: Words that describe a form's make, route or package and don't decide which form it is.
 MODIFIERS = (
     "bottle", "bottles", "tube", "tubes", "vial", "vials", "ampoule", "film", "coated", "uncoated", "chewable", "dispersible", "effervescent", "hard", "soft",
-    "gelatin", "gelatine", "dry", "topical", "skin", "vanishing", "throat", "vaginal", "rectal", "metered", "dose", "mdi", "im", "iv", "for", "use", "the", "of",
+    "gelatin", "gelatine", "dry", "topical", "skin", "vanishing", "throat", "vaginal", "rectal", "metered", "dose", "mdi", "im", "iv", "for", "use", "the", "of", "medicated",
     "ml", "g", "gm", "mg", "l",
 )
 
@@ -69,6 +41,34 @@ def normal_form(value: Column) -> Column:
     return squeeze(t)
 
 
+def short_forms(word: Column, synonyms: dict[str, tuple[str, ...]] = SYNONYMS) -> Column:
+    """What a word may be written as: itself, in the other number, its beginnings, its consonants, its synonyms."""
+    n = F.length(word)
+    number = F.when(word.endswith("s"), F.substring(word, F.lit(1), n - 1)).otherwise(F.concat(word, F.lit("s")))
+    starts = F.when(n > SHORTEST, F.transform(F.sequence(F.lit(SHORTEST), n - 1), lambda i: F.substring(word, F.lit(1), i))).otherwise(F.array().cast("array<string>"))
+    bones = F.concat(F.substring(word, F.lit(1), F.lit(1)), F.regexp_replace(F.substring(word, F.lit(2), n), "[aeiou]", ""))
+    others = F.array().cast("array<string>")
+    for known, names in synonyms.items():
+        others = F.when(word == known, F.array(*map(F.lit, names))).otherwise(others)
+    return F.array_distinct(F.filter(F.concat(F.array(word, number, bones), starts, others), lambda x: F.length(x) >= F.least(F.lit(SHORTEST), n)))
+
+
+def short_names(references: DataFrame, synonyms: dict[str, tuple[str, ...]] = SYNONYMS) -> DataFrame:
+    """``ref_id, name``: the names (in normal form) and their abbreviations by rule: every word in its short forms, and any word alone that only one reference has.
+
+    An abbreviation that stands for several references stands for none.
+    """
+    named = references.filter(F.col("name") != "").select("ref_id", "name").distinct()
+    words = F.split("name", " ")
+    whole = F.aggregate(words, F.array(F.lit("")), lambda acc, w: F.flatten(F.transform(acc, lambda a: F.transform(short_forms(w, synonyms), lambda o: F.concat(a, F.lit(" "), o)))))
+    every = named.filter(F.size(words) <= PRODUCT).select("ref_id", F.explode(whole).alias("name")).select("ref_id", F.trim("name").alias("name"))
+    each = named.select("ref_id", F.explode(words).alias("word")).distinct()
+    telling = each.groupBy("word").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("other")).filter("ref_id = other")
+    alone = telling.select("ref_id", F.explode(short_forms(F.col("word"), synonyms)).alias("name"))
+    made = every.unionAll(alone).groupBy("name").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("other")).filter("ref_id = other").select("ref_id", "name")
+    return named.unionAll(made.join(named.select("name"), "name", "left_anti").select("ref_id", "name"))
+
+
 def letter_tokens(value: Column) -> Column:
     """Letters and padded letter pairs of all words, each with its number of occurrence: a set that counts repeats."""
     words = F.filter(F.split(value, " "), lambda w: w != "")
@@ -113,14 +113,14 @@ def similarity_join(values: DataFrame, references: DataFrame, threshold: float =
     return best.select("v", (-F.col("x.m")).alias("ref_id"), F.col("x.similarity").alias("similarity"))
 
 
-def map_to_list(rows: DataFrame, keep: list[str], value: str, references: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def map_to_list(rows: DataFrame, keep: list[str], value: str, references: DataFrame, threshold: float = THRESHOLD, synonyms: dict[str, tuple[str, ...]] = SYNONYMS) -> DataFrame:
     """``keep..., ref_id``: every row whose value is neither blank nor exactly a reference's name; 0 where none fits.
 
-    references: ``ref_id, name, main`` (main: the name itself, not an alias). Values are reduced to distinct normal
-    forms before the join, and rows get their answer back however often a value repeats.
+    references: ``ref_id, name``. Values are reduced to distinct normal forms before the join, and rows get their answer
+    back however often a value repeats.
     """
-    exact = references.filter("main").select(F.col("name").alias(value)).distinct()
-    typed = rows.filter(~F.col(value).rlike(r"^[\s\u00a0]*$")).join(F.broadcast(exact), value, "left_anti").select(*keep, normal_form(F.col(value)).alias("v"))
-    names = references.select("ref_id", normal_form(F.col("name")).alias("name"))
+    exact = scale.materialize(references.filter(F.col("name").isNotNull()).select(F.col("name").alias(value), F.lit(True).alias("exact")).distinct())
+    typed = scale.lookup_join(rows.filter(~F.col(value).rlike(r"^[\s\u00a0]*$")), exact, [value]).filter("exact is null").select(*keep, normal_form(F.col(value)).alias("v"))
+    names = scale.materialize(short_names(references.select("ref_id", normal_form(F.col("name")).alias("name")), synonyms))
     found = scale.materialize(similarity_join(scale.materialize(typed.select("v").distinct()), names, threshold))
     return scale.lookup_join(typed, found.select("v", "ref_id"), ["v"]).select(*keep, F.coalesce("ref_id", F.lit(0)).alias("ref_id"))

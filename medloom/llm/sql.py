@@ -59,15 +59,20 @@ def _tokens(c: str) -> str:
     return every
 
 
+_SHORTS = f"""list_filter(list_distinct(list_concat([w, CASE WHEN w LIKE '%s' THEN w[:-2] ELSE w || 's' END, w[1] || regexp_replace(w[2:], '[aeiou]', '', 'g')],
+      list_transform(range({setjoin.SHORTEST}, greatest(length(w), {setjoin.SHORTEST})), lambda i: w[1:i]),
+      CASE {' '.join(f"WHEN w = '{w}' THEN [{', '.join(repr(x) for x in names)}]" for w, names in setjoin.SYNONYMS.items())} ELSE [] END)), lambda x: length(x) >= least({setjoin.SHORTEST}, length(w)))"""
 _P5 = f"""
-    WITH n AS (
-      SELECT form_id AS ref_id, form_name AS name FROM dosage_forms
-      UNION ALL SELECT form_id, alias FROM dosage_forms JOIN (VALUES {', '.join(f"('{f}', '{a}')" for f, names in setjoin.ALIASES.items() for a in names)}) a(name, alias) ON form_name = a.name
-      UNION ALL SELECT 0, x FROM (VALUES {', '.join(f"('{x}')" for x in setjoin.NOT_FORMS)}) o(x)),
+    WITH f AS (SELECT form_id AS ref_id, {_normal('form_name')} AS name FROM dosage_forms),
+    w AS (SELECT ref_id, unnest(string_split(name, ' ')) AS w, generate_subscripts(string_split(name, ' '), 1) AS p, len(string_split(name, ' ')) AS n FROM f),
+    o AS (SELECT ref_id, w, p, n, unnest({_SHORTS}) AS o FROM w),
+    g AS (SELECT ref_id, o AS name FROM o WHERE n = 1 UNION ALL SELECT a.ref_id, a.o || ' ' || b.o FROM o a JOIN o b ON a.ref_id = b.ref_id AND a.n = 2 AND a.p = 1 AND b.p = 2
+      UNION ALL SELECT ref_id, o FROM o WHERE w IN (SELECT w FROM w GROUP BY w HAVING count(DISTINCT ref_id) = 1)),
+    n AS (SELECT ref_id, name FROM f UNION ALL SELECT min(ref_id), name FROM g WHERE name NOT IN (SELECT name FROM f) GROUP BY name HAVING count(DISTINCT ref_id) = 1),
     r AS (SELECT 'banned_medicines' AS table_name, id, dosage_form FROM banned_medicines UNION ALL SELECT 'unofficial_medicines', id, dosage_form FROM unofficial_medicines),
     t AS (SELECT table_name, id, {_normal('dosage_form')} AS v FROM r WHERE dosage_form IS NOT NULL AND NOT {_blank('dosage_form')} AND dosage_form NOT IN (SELECT form_name FROM dosage_forms)),
     a AS (SELECT v, list_transform(s, lambda x, i: x || '#' || (i - list_position(s, x))) AS ta FROM (SELECT v, {_tokens('v')} AS s FROM (SELECT DISTINCT v FROM t WHERE v <> ''))),
-    b AS (SELECT ref_id, list_transform(s, lambda x, i: x || '#' || (i - list_position(s, x))) AS tb FROM (SELECT ref_id, {_tokens('v')} AS s FROM (SELECT DISTINCT ref_id, {_normal('name')} AS v FROM n) WHERE v <> '')),
+    b AS (SELECT ref_id, list_transform(s, lambda x, i: x || '#' || (i - list_position(s, x))) AS tb FROM (SELECT ref_id, {_tokens('name')} AS s FROM n)),
     j AS (SELECT v, ref_id, len(list_intersect(ta, tb)) AS c, len(ta) + len(tb) AS l FROM a, b),
     m AS (SELECT v, ref_id FROM j WHERE c / (l - c) >= {setjoin.THRESHOLD} - 1e-12 QUALIFY row_number() OVER (PARTITION BY v ORDER BY c / (l - c) DESC, ref_id) = 1)
     SELECT table_name, id, coalesce(ref_id, 0) AS form_id FROM t LEFT JOIN m USING (v)"""
@@ -90,7 +95,10 @@ _P10 = f"""
 
 SQL: dict[str, str] = {
     "p1_found": f"SELECT 'banned_medicines' AS table_name, * FROM ({_copies('banned_medicines')}) UNION ALL SELECT 'unofficial_medicines', * FROM ({_copies('unofficial_medicines')})",
-    "p1_copy_counts": f"SELECT first_id, n_copies, generic_name, notification_number FROM (SELECT min(id) AS first_id, count(*) AS n_copies FROM ({_keys('banned_medicines')}) GROUP BY key) JOIN banned_medicines ON first_id = id",
+    "p1_copy_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, first_id, n_copies, generic_name, notification_number FROM (SELECT min(id) AS first_id, count(*) AS n_copies FROM ({_keys(t)}) GROUP BY key) JOIN {t} ON first_id = id"
+        for t in ("banned_medicines", "unofficial_medicines")
+    ),
     "p5_found": _P5,
     "p10_statistics": _P10,
 }
