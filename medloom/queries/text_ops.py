@@ -245,3 +245,26 @@ SQL = {
     "ref_t1_numbered_rows": _sql_entries(r"^\s*(\d{1,4})\s*[.\)]\s*(.+)", 2, 3, False, "generic_name <> ''"),
     "ref_t2_combination_lines": _sql_entries(r"^.*?\b\w+\s*\+\s*\w+.*$", 0, 5, True, "contains(generic_name, '+')"),
 }
+
+#: letters outside ASCII count as parts of words, as they do for Spark's patterns
+_PLAIN_LETTERS = r"regexp_replace(s, '[\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2c1}\p{Lo}\p{M}]', '_', 'g')"
+_CAPITALS = ", ".join(f"'{w}'" for w in lexicon.PLAIN_CAPITALS)
+SQL["ref_t3_paragraph_names"] = rf"""
+    WITH l AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[.;\n]'), lambda x: {sql_strip('x')}), lambda x: length(x) >= 10) AS l FROM documents WHERE text IS NOT NULL),
+    s AS (SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS s FROM l),
+    n AS (SELECT *, list_filter(regexp_extract_all({_PLAIN_LETTERS}, '\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b', 1), lambda x: length(x) >= 4 AND x NOT IN ({_CAPITALS})) AS names FROM s),
+    e AS (SELECT doc_id, i, generate_subscripts(names, 1) AS j, unnest(names) AS generic_name, {sql_extract_form('s')} AS dosage_form, {sql_extract_strength('s')} AS strength, substring(s, 1, 500) AS raw_text FROM n WHERE len(names) > 0)
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, j) - 1 AS INTEGER) AS pos, generic_name, dosage_form, strength, raw_text FROM e"""
+SQL["ref_t4_entries"] = f"""
+    WITH t1 AS ({SQL['ref_t1_numbered_rows']}), t2 AS ({SQL['ref_t2_combination_lines']}), t3 AS ({SQL['ref_t3_paragraph_names']}),
+    s AS (SELECT *, 0 AS k FROM t1 UNION ALL SELECT *, 1 FROM t2 WHERE NOT EXISTS (SELECT 1 FROM t1 WHERE t1.doc_id = t2.doc_id AND lower(t1.generic_name) = lower(t2.generic_name))),
+    g AS (SELECT * FROM s UNION ALL SELECT *, 2 FROM t3 WHERE doc_id NOT IN (SELECT doc_id FROM s)),
+    a AS (SELECT * FROM g UNION ALL SELECT doc_id, 0, CASE WHEN text IS NULL THEN '{extract.UNREADABLE}' ELSE '{extract.NO_ENTRIES}' END, NULL, NULL, substring(text, 1, 2000), 3 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM g)),
+    x1 AS ({SQL['ref_x1_extract_number']}), x2 AS ({SQL['ref_x2_extract_date']}), x7 AS ({SQL['ref_x7_extract_reason']})
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k, pos) - 1 AS INTEGER) AS pos, generic_name, dosage_form, strength, raw_text, CASE WHEN k < 2 THEN 'ok' ELSE 'needs_review' END AS parsing_status,
+      number AS notification_number, dated AS notification_date, CASE WHEN k < 3 THEN reason END AS ban_reason
+    FROM a JOIN x1 USING (doc_id) JOIN x2 USING (doc_id) JOIN x7 USING (doc_id)"""
+SQL["ref_t6_routes"] = f"""
+    WITH e AS ({SQL['ref_t4_entries']}), banned_medicines AS (SELECT row_number() OVER () AS id, * FROM e), x AS ({SQL['ref_x8_split_combination']})
+    SELECT CASE WHEN generic_name IN ('{extract.NO_ENTRIES}', '{extract.UNREADABLE}') THEN 'failed' WHEN parsing_status = 'needs_review' THEN 'review' ELSE 'keep' END AS route, is_fdc,
+      count(*) AS n_entries, count(DISTINCT doc_id) AS n_documents FROM banned_medicines JOIN x USING (id) GROUP BY 1, 2"""
