@@ -18,15 +18,19 @@ from pyspark.sql import functions as F
 from medloom import scale
 
 #: Parents in one sorted array, at most about so many: it bounds the memory of a range and, inversely, the rows of bounds.
-RANGE_KEYS = 1 << 16
+RANGE_KEYS = 1 << 14
 
 _PARENTS = "rid int, lo string, keys array<string>, since array<bigint>, live array<boolean>"
 
 
 def _as_bytes(keys: pa.Array) -> np.ndarray:
-    """Keys as an array that numpy can search; order is that of the UTF-8 bytes, as Spark sorts text."""
+    """Keys as an array that numpy can search; order is that of the UTF-8 bytes, as Spark sorts text.
+
+    Arrays of fixed width are faster, but don't tell a NUL at the end from none; keys with NULs and long keys are objects.
+    """
     values = [k.encode() for k in keys.to_pylist()]
-    return np.array(values, dtype="S") if max(map(len, values), default=0) <= 256 else np.array(values, dtype=object)
+    fixed = max(map(len, values), default=0) <= 256 and not any(b"\0" in v for v in values)
+    return np.array(values, dtype="S") if fixed else np.array(values, dtype=object)
 
 
 def _search(sorted_keys: np.ndarray, probe: np.ndarray, side: str = "left") -> np.ndarray:

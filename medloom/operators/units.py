@@ -67,11 +67,13 @@ def quantities(rows: DataFrame, keep: list[str], strength: Column, text: Column,
     source's unit for bare numbers, none by default. Null, blank and wordy strengths, and numbers whose unit stays
     unknown, give no row. Amounts are rounded to whole units.
     """
-    part = lambda i: F.nullif(F.regexp_extract("q", QUANTITY, i), F.lit(""))
+    part = lambda i, groups=F.col("q"): F.nullif(F.get(groups, F.lit(i - 1)), F.lit(""))
     found = rows.filter(strength.rlike("[0-9]")).select(*keep, plain(strength).alias("s"), text.alias("t"))
-    found = found.withColumn("qs", F.regexp_extract_all("s", F.lit(QUANTITY), F.lit(0))).filter(F.size("qs") > 0)
-    own = lambda q: F.coalesce(F.nullif(F.regexp_extract(q, QUANTITY, 4), F.lit("")), F.nullif(F.regexp_extract(q, QUANTITY, 1), F.lit("")))
-    found = found.withColumn("last_unit", own(F.element_at("qs", -1)))
+    # the pattern is gone through once a quantity; its groups come out together
+    groups = lambda q: F.split(F.regexp_replace(q, QUANTITY, "\u0001".join(f"${i}" for i in range(1, 9))), "\u0001")
+    found = found.withColumn("qs", F.transform(F.regexp_extract_all("s", F.lit(QUANTITY), F.lit(0)), groups)).filter(F.size("qs") > 0)
+    last = F.element_at("qs", -1)
+    found = found.withColumn("last_unit", F.coalesce(part(4, last), part(1, last)))
     named = F.lower(F.translate("t", "µμ", "uu"))
     in_text = F.regexp_replace(F.coalesce(F.nullif(F.regexp_extract(named, TEXT_UNIT, 1), F.lit("")), F.nullif(F.regexp_extract(named, TEXT_UNIT, 2), F.lit(""))), "international units", "iu")
     bare = F.when(F.col("s").rlike(_BARE), F.coalesce(in_text, default if default is not None else F.lit(None).cast("string")))
