@@ -68,7 +68,7 @@ def test_copy_counts_of_both_tables(spark, data):
         for r in queries._keyed(spark, data, name).collect():
             ids[r["key"]].append(r["id"])
         want |= {(name, min(x)): len(x) for x in ids.values()}
-    rows = queries.QUERIES["p1_copy_counts_all"](spark, data).collect()
+    rows = queries.QUERIES["p1_copy_counts"](spark, data).collect()
     assert {(r["table_name"], r["first_id"]): r["n_copies"] for r in rows} == want and len(rows) == len(want)
 
 
@@ -168,11 +168,29 @@ def test_similarity_join_against_brute_force(spark):
 
 
 def test_map_to_list(spark):
-    refs = spark.createDataFrame([(1, "Tablet", True), (1, "tabs", False), (2, "Eye Drops", True), (0, "batch", False)], "ref_id long, name string, main boolean")
-    rows = spark.createDataFrame([(i, v, 7) for i, v in enumerate(["Tablet", "TABLETS", "tbalet", "drops, eye", "Eye Drops 10 ml bottle", "batch 12", "carton", "-", "", "  ", None, "tabs"])], "id long, f string, ref_id int")
+    refs = spark.createDataFrame([(1, "Tablet"), (2, "Eye Drops"), (3, "Ear Drops"), (4, "Oral Suspension"), (5, None)], "ref_id long, name string")
+    written = ["Tablet", "TABLETS", "tbalet", "drops, eye", "Eye Drops 10 ml bottle", "batch 12", "carton", "-", "", "  ", None, "tabs", "tblt", "susp.", "ophthalmic drps", "drops", "HSN 30"]
+    rows = spark.createDataFrame([(i, v, 7) for i, v in enumerate(written)], "id long, f string, ref_id int")
     got = {r["id"]: r["ref_id"] for r in setjoin.map_to_list(rows.drop("ref_id"), ["id"], "f", refs).collect()}
-    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: 0, 6: 0, 7: 0, 11: 1}
-    assert setjoin.map_to_list(rows.limit(0), ["id"], "f", refs).count() == 0
+    assert got.pop(15) in (2, 3)  # half of either name
+    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: 0, 6: 0, 7: 0, 11: 1, 12: 1, 13: 4, 14: 2, 16: 0}
+    assert setjoin.map_to_list(rows.limit(0), ["id"], "f", refs).count() == setjoin.map_to_list(rows, ["id"], "f", refs.limit(0)).filter("ref_id <> 0").count() == 0
+
+
+def test_short_names(spark):
+    refs = spark.createDataFrame([(1, "eye drops"), (2, "ear drops"), (3, "ointment"), (4, "one two three four")], "ref_id long, name string")
+    got = {(r["ref_id"], r["name"]) for r in setjoin.short_names(refs).collect()}
+    assert {(1, "eye drops"), (1, "eye drps"), (1, "ophthalmic drops"), (1, "eye"), (2, "otic"), (3, "oint"), (3, "ointments"), (3, "ontmnt"), (4, "one two three four"), (4, "thr")} <= got
+    assert not any(n in ("drops", "dro", "o") for _, n in got) and len({n for _, n in got}) == len(got)
+
+
+def test_forms_without_synonyms(spark, data):
+    """Nine in ten rows get the same answer from the rules alone."""
+    forms = spark.read.parquet(f"{data}/dosage_forms.parquet").selectExpr("form_id as ref_id", "form_name as name")
+    rows = spark.read.parquet(f"{data}/banned_medicines.parquet").select("id", "dosage_form")
+    plain = {r["id"]: r["ref_id"] for r in setjoin.map_to_list(rows, ["id"], "dosage_form", forms, synonyms={}).collect()}
+    full = {r["id"]: r["ref_id"] for r in setjoin.map_to_list(rows, ["id"], "dosage_form", forms).collect()}
+    assert plain.keys() == full.keys() and sum(plain[i] == full[i] for i in plain) >= 0.9 * len(plain)
 
 
 # ---- linkage
@@ -235,13 +253,11 @@ def test_search_against_brute_force(spark, monkeypatch, long_):
 
     rows = [(i, s, n, None) for i, (s, n) in enumerate(asked)]
     queries_ = spark.createDataFrame(rows, "qid long, qs string, qnum string, none string").select("qid", "qs", "qnum", F.when(F.col("qid").isin([i for i, q in enumerate(asked) if q in hidden]), linkage._id(F.col("qs"), F.col("qnum"))).alias("hidden"))
-    got = collections.defaultdict(dict)
-    for r in index.search(index.weigh(queries_)).collect():
-        got[r["qid"]][r["rank"]] = r["score"]
+    got = {r["qid"]: [x for x in (r["score"], r["score2"]) if x is not None] for r in index.search(index.weigh(queries_)).collect()}
     for i, q in enumerate(asked):
-        want = sorted((score(q, e) for e in entities if not (q in hidden and e == q) and score(q, e) > 0), reverse=True)[: linkage.TOP]
+        want = sorted((score(q, e) for e in entities if not (q in hidden and e == q) and score(q, e) > 0), reverse=True)[:2]
         exact = [w for w in want if w >= want[0] / 2]
-        assert [got[i][k + 1] for k in range(len(exact))] == pytest.approx(exact), q
+        assert got.get(i, [])[: len(exact)] == pytest.approx(exact), q
 
 
 def test_confidence_tells_matches_apart(spark):
@@ -254,8 +270,8 @@ def test_confidence_tells_matches_apart(spark):
 def test_matches_must_be_mutual(spark):
     # the listing that fits entity 2 best fits entity 1 better, so whatever else is nearest to 2 is not what 2 is nearest to
     left = [(1, "Alphadoxin + Bexaril", "S.O. 41(E)"), (2, "Alphadoxin + Corvadine", "G.S.R. 977(E)"), (3, "Dulmaxen", "S.O. 5(E)")]
-    matches = spark.createDataFrame([(10, 1, 1, 9.0, 0.9), (10, 2, 2, 8.0, 0.8), (11, 1, 2, 7.0, 0.7), (12, 1, 3, 5.0, 0.5), (13, 1, 3, 4.0, 0.4)], "qid long, rank int, eid long, score double, coverage double")
-    assert sorted(r["eid"] for r in linkage.mutual_entities(matches).collect()) == [1, 3]
+    near = spark.createDataFrame([(1, 0.9, 2, 0.8), (2, 0.7, 1, 0.1), (3, 0.5, None, None), (3, 0.4, 1, 0.3)], "eid long, coverage double, eid2 long, coverage2 double")
+    assert sorted(r["eid"] for r in linkage.mutual_entities(near).collect()) == [1, 3]
     assert linked(spark, left, [(101, "Alphadoxin + Bexaril", "S.O. 41(E)")])[0].keys() == {(1, 101)}
 
 
@@ -336,7 +352,7 @@ def test_leaks_against_brute_force(spark):
         text = " ".join(w.upper() if rng.random() < 0.1 else w for w in words)
         documents.append((d, text.replace(" ", ",\n" if d % 3 == 0 else "  "), "x"))
     documents += [(900, None, "x"), (901, "", "x"), (902, " \n", "x")]
-    got = leakage.leaks(spark.createDataFrame(documents, "doc_id long, text string, item_id string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(99, None), (98, "")], "item_id long, text string"), block=7)
+    got = leakage.leaks(spark.createDataFrame(documents, "doc_id long, text string, item_id string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(99, None), (98, "")], "item_id long, text string"), item_words=500)
     rows = got.collect()
     assert {(r["item_id"], r["doc_id"]) for r in rows} == want and want
     assert all(r["share"] >= leakage.SHARE for r in rows)
@@ -354,6 +370,34 @@ def test_leaks_see_through_layout_and_changed_slots():
     assert not index.find("") and not leakage.Index([]).find(text)
 
 
+def test_leaks_of_renamed_items():
+    text = "The clerk in Norbury counted 12 sealed boxes of Alphadoxin before noon. Later the nurse in Norbury weighed 12 mg of Corvadine again and wrote the figures into a brown ledger by the door."
+    index = leakage.Index([(1, text)])
+    renamed = text.replace("Norbury", "Zulkopo").replace("Alphadoxin", "Wexivan").replace("Corvadine", "Mupalin")
+    (_, share, slots), = index.find(renamed)
+    assert share > 0.9 and slots == 1.0
+    assert index.find(renamed.lower())[0][2] == 1.0
+    alike, mixed = text.replace("12", "17"), text.replace("12 sealed", "17 sealed").replace("12 mg", "29 mg")
+    assert index.find(alike)[0][2] == 1.0 > index.find(mixed)[0][2]  # two figures for one
+    assert index.find(alike)[0][1] >= index.find(mixed)[0][1]
+
+
+@pytest.mark.parametrize("n", range(1, 30))
+def test_leaks_of_items_of_every_length(n):
+    rng = random.Random(n)
+    item, around = passage(rng, n), ["qu" + w for w in passage(rng, 60)]
+    index = leakage.Index([(1, " ".join(item)), (2, " ".join("zz" + w for w in item))])
+    assert [r[:2] for r in index.find(" ".join(around[:30] + item + around[30:]))] == [(1, 1.0)]
+    assert not index.find(" ".join(around))
+    figures = leakage.Index([(1, " ".join(str(1_000 + 37 * i) for i in range(n)))])
+    assert [r[0] for r in figures.find(" ".join(["x", *(str(1_000 + 37 * i) for i in range(n)), "y"]))] == [1]
+
+
+def test_leaks_in_long_tags():
+    text = " ".join(passage(random.Random(1), 40))
+    assert leakage.Index([(1, text)]).find(text.replace(" ", " <a href='" + "x" * 900 + "'> ", 20))[0][1] == 1.0
+
+
 # ---- mixing
 
 
@@ -447,29 +491,64 @@ KINDS = {
 }
 
 
-def test_kinds():
-    assert {t: textkind.text_kind(t) for t in KINDS} == KINDS
-
-
-def test_not_prose(spark):
-    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(KINDS)] + [(100 + i, PROSE + f" {i}", None) for i in range(30)] + [(900, None, "en")], "doc_id long, text string, lang string")
-    got = {r["doc_id"]: r["kind"] for r in textstats.not_prose(rows, gate=0.0).collect()}
-    assert got == {i: k for i, k in enumerate(KINDS.values()) if k != "prose"}
-    assert textstats.not_prose(rows.limit(0)).count() == 0
-
-
-def test_not_prose_of_common_kinds_and_rare_languages(spark):
-    listing = "1. Alpha\n2. Beta and Gamma\n3. Delta"
-    rows = [(i, PROSE + f" {i}", "en") for i in range(60)] + [(100 + i, listing, "en") for i in range(30)] + [(900, listing, "hi"), (901, listing, None), (902, PROSE, "es")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert {r["doc_id"]: r["kind"] for r in textstats.not_prose(df).collect()} == {i: "list" for i in [*range(100, 130), 900, 901]}
-    assert textstats.not_prose(df.unionAll(df)).count() == 64
-
-
-def test_kinds_against_held_out_labels(spark, data):
-    labels = spark.read.parquet(f"{data}/doc_labels.parquet").groupBy("doc_id").agg(F.min("kind").alias("kind"), F.max("kind").alias("other")).filter("kind = other").select("doc_id", "kind")
-    found = textstats.not_prose(spark.read.parquet(f"{data}/documents.parquet")).withColumnRenamed("kind", "found")
-    rows = labels.join(found, "doc_id", "left").select("kind", F.coalesce("found", F.lit("prose")).alias("found")).collect()
-    assert sum(r["kind"] == r["found"] for r in rows) >= 0.85 * len(rows)  # some labels are wrong
-
+def test_shapes():
+    rows = {t: dict(zip(textkind.SHAPE, textkind.shape(t))) for t in KINDS}
+    assert all(r["flowing_lines"] == 1 for t, r in rows.items() if KINDS[t] == "prose")
+    assert all(r["regular_lines"] > 0.6 for t, r in rows.items() if KINDS[t] == "table")
+    assert all(r["n_lines"] == 0 for t, r in rows.items() if not t.strip())
+    assert textkind.shape("- a b\n- c d")[textkind.SHAPE.index("marked_lines")] == 1.0
+    assert textkind.shape("word " * 300_000)[textkind.SHAPE.index("distinct_words")] == 0.0
+
+
+def labelled(spark, copies=0, lang="en"):
+    """Documents of all kinds in variants, and their labels."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice(["bra", "kul", "mef", "sin", "tor", "vax"]) for _ in range(3)) for _ in range(200)]
+    base = [t for t in KINDS if t.strip()]
+    rows = []
+    for i in range(400):
+        t = base[i % len(base)]
+        rows.append((i, t.replace("Alpha", rng.choice(words)).replace("Beta", rng.choice(words)).replace("clerk", rng.choice(words)) + ("\n" + t if rng.random() < 0.5 else ""), lang, KINDS[t]))
+    rows += [(1_000 + i, rows[1][1], lang, rows[1][3]) for i in range(copies)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, kind string")
+    return df.drop("kind"), df.select("doc_id", "kind"), {r[0]: r[3] for r in rows}
+
+
+@pytest.mark.parametrize("copies", [0, 200])
+def test_not_prose_of_documents_not_labelled(spark, copies):
+    documents, labels, kinds = labelled(spark, copies)
+    more = spark.createDataFrame([(9_001, None, "en"), (9_002, " \n", "en"), (9_003, "", None)], documents.schema)
+    got = {r["doc_id"]: r["kind"] for r in textstats.not_prose(documents.unionAll(more), labels.filter("doc_id % 2 = 0 or doc_id >= 1000"), 300).collect()}
+    assert got.pop(9_002) == got.pop(9_003) == "junk" and 9_001 not in got
+    odd = [i for i in kinds if i % 2]
+    assert sum(got.get(i, "prose") == kinds[i] for i in odd) >= 0.9 * len(odd)
+    if copies:
+        assert all(got.get(i, "prose") == kinds[i] for i in kinds if i >= 1_000)
+
+
+def test_scores_decide(spark, monkeypatch):
+    documents, labels, kinds = labelled(spark)
+    monkeypatch.setattr(textstats, "tails", lambda rows: rows.distinct().select("lang", "stat", "value", F.lit(1.0).alias("low"), F.lit(1.0).alias("high")))
+    assert {r["kind"] for r in textstats.not_prose(documents, labels).collect()} <= {"list", "table", "junk"}
+    constant = {r["doc_id"]: r["kind"] for r in textstats.not_prose(documents, labels).collect()}
+    assert sum(constant.get(i, "prose") == k for i, k in kinds.items()) < 0.6 * len(kinds)
+
+
+def test_not_prose_of_nothing_and_no_labels(spark):
+    documents, labels, kinds = labelled(spark)
+    assert textstats.not_prose(documents.limit(0), labels).count() == 0
+    found = {r["doc_id"]: r["kind"] for r in textstats.not_prose(documents, labels.limit(0)).collect()}
+    assert not any(i in found for i, k in kinds.items() if k == "prose")
+
+
+def test_kinds_against_labels_left_out(spark, data):
+    """Two thirds of the labels are learnt from, the last third decides."""
+    import os
 
+    folder = os.path.join(os.path.dirname(data), "sf0.1")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    documents, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/doc_labels.parquet")
+    found = textstats.not_prose(documents, labels.filter("doc_id % 3 > 0")).withColumnRenamed("kind", "found")
+    rows = labels.filter("doc_id % 3 = 0").join(found, "doc_id", "left").select("kind", F.coalesce("found", F.lit("prose")).alias("found")).collect()
+    assert sum(r["kind"] == r["found"] for r in rows) >= 0.9 * len(rows)  # some labels are wrong
