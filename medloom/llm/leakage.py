@@ -27,6 +27,8 @@ from medloom.operators.units import UNITS, VOLUMES
 #: Words in a window; words of items held in one table (some 100 MB); least part of an item's words; least part of equal
 #: words in a stretch; words that a stretch needs unless it is the whole item.
 WINDOW, ITEM_WORDS, SHARE, DENSITY, LEAST = 5, 4_000_000, 1 / 3, 0.7, 7
+#: Meetings of a document's windows with items that are counted at once; a stock phrase of many items has many.
+MEETINGS = 1 << 20
 #: Diagonals this far apart may belong to one stretch: words lost or added by layout move it.
 BAND = 8
 
@@ -88,6 +90,7 @@ class Index:
         sizes = np.array([len(w) for _, w in words], dtype=np.int64)
         self.need = np.maximum(np.ceil(sizes * SHARE).astype(np.int64), np.minimum(sizes, LEAST))
         hashes, owner, at = [], [], []
+        self.grams: list[tuple[np.ndarray, np.ndarray]] = []
         windows = np.ones(len(words), np.int64)
         for n, c in enumerate(self.codes):
             width = min(window, len(c))
@@ -96,6 +99,7 @@ class Index:
             if len(telling) < min(3, len(h)):  # hardly a word but names and figures: all it has
                 telling = np.arange(len(h))
             windows[n] = len(telling)
+            self.grams.append((h[telling], telling))
             hashes.append(h[telling]), owner.append(np.full(len(telling), n)), at.append(telling)
         self.widths = sorted({min(window, len(c)) for c in self.codes})
         #: windows that must agree: three, as far as the item has them, or what the least stretch holds even where every window's length one word differs
@@ -140,31 +144,47 @@ class Index:
         """(item, share of its words in the longest stretch, part of its slots that are kept or consistently replaced)."""
         codes = self.encode(plain_words(text))
         each = [self.windows(codes, w)[0] for w in self.widths]
-        h, at = np.concatenate([np.array([], np.uint64), *each]), np.concatenate([np.array([], np.int64), *[np.arange(len(x)) for x in each]])
+        h, where = np.concatenate([np.array([], np.uint64), *each]), np.concatenate([np.array([], np.int64), *[np.arange(len(x)) for x in each]])
         if not len(h) or not len(self.hashes):
             return []
         place = np.searchsorted(self.hashes, h)
         place[place == len(self.hashes)] = 0
         met = self.hashes[place] == h
-        place, at = place[met], at[met]
+        place, at = place[met], where[met]
         if not len(place):
             return []
-        first, many = self.starts[place], self.starts[place + 1] - self.starts[place]
-        post = np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-        item, shift = self.owner[post], np.repeat(at, many) - self.at[post]
-        cell = item * (1 << 40) + (shift + (1 << 30)) // BAND
-        cells, counts = np.unique(cell, return_counts=True)
+        cells, counts = self._cells(place, at)
         both = counts + np.r_[np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0), 0]
         enough = cells[both >= self.enough[cells >> 40]]
         found: dict[int, tuple[float, float]] = {}
+        if len(enough):
+            order = np.argsort(h, kind="stable")
+            h, where = h[order], where[order]
         for c in enough:
             n = int(c >> 40)
-            near = (cell == c) | (cell == c + 1)
-            result = self._stretch(n, codes, np.unique(shift[near]))
+            grams, own = self.grams[n]
+            low, high = np.searchsorted(h, grams, "left"), np.searchsorted(h, grams, "right")
+            shift = where[np.repeat(low - np.r_[0, np.cumsum(high - low)[:-1]], high - low) + np.arange((high - low).sum())] - np.repeat(own, high - low)
+            band = (shift + (1 << 30)) // BAND - (c & ((1 << 40) - 1))
+            result = self._stretch(n, codes, np.unique(shift[(band == 0) | (band == 1)]))
             if result and result > found.get(n, (0, 0)):
                 found[n] = result
         return [(int(self.ids[n]), share, slots) for n, (share, slots) in found.items()]
 
+    def _cells(self, place: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells (item and band of diagonals) that the document's windows meet, in order, and how often; MEETINGS at a time."""
+        first, many = self.starts[place], self.starts[place + 1] - self.starts[place]
+        cuts = np.flatnonzero(np.diff(np.cumsum(many) // MEETINGS)) + 1
+        cells, counts = [], []
+        for f, m, a in zip(np.split(first, cuts), np.split(many, cuts), np.split(at, cuts)):
+            post = np.repeat(f - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())
+            c, k = np.unique(self.owner[post] * (1 << 40) + (np.repeat(a, m) - self.at[post] + (1 << 30)) // BAND, return_counts=True)
+            cells.append(c), counts.append(k)
+        if len(cells) == 1:
+            return cells[0], counts[0]
+        every, back = np.unique(np.concatenate(cells), return_inverse=True)
+        return every, np.bincount(back, np.concatenate(counts)).astype(np.int64)
+
     def _stretch(self, n: int, codes: np.ndarray, shifts: np.ndarray) -> tuple[float, float] | None:
         item, size = self.codes[n], len(codes)
         spans = [(max(0, -int(s)), min(len(item), size - int(s)), int(s)) for s in shifts]

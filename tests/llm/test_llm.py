@@ -393,6 +393,16 @@ def test_leaks_of_items_of_every_length(n):
     assert [r[0] for r in figures.find(" ".join(["x", *(str(1_000 + 37 * i) for i in range(n)), "y"]))] == [1]
 
 
+def test_leaks_of_stock_phrases(monkeypatch):
+    rng = random.Random(4)
+    stock = passage(rng, 12)
+    items = [(i, " ".join(stock + passage(rng, 40))) for i in range(60)]
+    text = " ".join([*stock * 5, *items[7][1].split(), *stock * 3])
+    whole = sorted(leakage.Index(items).find(text))
+    monkeypatch.setattr(leakage, "MEETINGS", 50)
+    assert sorted(leakage.Index(items).find(text)) == whole and [r[0] for r in whole] == [7]
+
+
 def test_leaks_in_long_tags():
     text = " ".join(passage(random.Random(1), 40))
     assert leakage.Index([(1, text)]).find(text.replace(" ", " <a href='" + "x" * 900 + "'> ", 20))[0][1] == 1.0
