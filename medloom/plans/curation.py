@@ -30,15 +30,17 @@ class Notices:
     status: DataFrame
 
 
-def process_notices(documents: DataFrame, as_of: Column) -> Notices:
+def process_notices(documents: DataFrame, as_of: Column, written: bool = True) -> Notices:
     """E1. Documents (``doc_id, text, source_url``) to medicines, review items and a parsing status per document.
 
     Entries are extracted, routed, normalised and validated; valid ones are deduplicated by name within their document.
-    Sure entries are stored, doubtful ones reviewed, unreadable documents failed.
+    Sure entries are stored, doubtful ones reviewed, unreadable documents failed. The checked entries are written once
+    for all three outputs, unless only one of them is wanted and ``written`` is off: it then reads no more than it needs.
     """
     parsed = extract.routed_entries(extract.entries(documents.select("doc_id", "text")))
     rows = normalized(parsed.withColumn("raw_name", F.col("generic_name")))
-    checked = scale.materialize(validate.validated(rows, as_of).join(documents.select("doc_id", "source_url"), "doc_id", "left"))
+    checked = validate.validated(rows, as_of).join(documents.select("doc_id", "source_url"), "doc_id", "left")
+    checked = scale.materialize(checked) if written else checked
     keep = checked.filter("route = 'keep' and is_valid")
     medicines = dedup.first_wins(keep, F.struct("doc_id", F.lower("generic_name")), "pos").drop("errors", "warnings", "is_valid", "route", "raw_name", "parsing_status")
     issue = F.when(F.col("route") == "failed", "scanned_pdf").when((F.col("route") == "review") | ~F.col("is_valid"), "validation_failed")

@@ -16,13 +16,13 @@ from medloom.tables import table
 
 def ref_e1_medicines(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", F.col("url").alias("source_url"))
-    made = curation.process_notices(documents, F.lit(AS_OF).cast("date")).medicines
+    made = curation.process_notices(documents, F.lit(AS_OF).cast("date"), written=False).medicines
     return made.select("doc_id", "generic_name", "dosage_form", "strength", "notification_number", "notification_date", "is_fdc", F.array_join("ingredients", " | ").alias("ingredients"))
 
 
 def ref_e1_status(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", F.col("url").alias("source_url"))
-    return curation.process_notices(documents, F.lit(AS_OF).cast("date")).status
+    return curation.process_notices(documents, F.lit(AS_OF).cast("date"), written=False).status
 
 
 def ref_e3_reviews(spark: SparkSession, folder: str) -> DataFrame:
