@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from medloom import lexicon
 from medloom.functions.columns import SPACE, bound, squeeze
 
+# The patterns of numbers, forms, strengths, reasons and dates down to DATES.
 MONTH = "(" + "|".join(m.capitalize() for m in lexicon.MONTHS) + ")"
 GSR = r"(?i)G\.?\s*S\.?\s*R\.?\s*(\d+)\s*\(?\s*E\s*\)?"
 SO = r"(?i)S\.?\s*O\.?\s*(\d+)\s*\(?\s*E\s*\)?"

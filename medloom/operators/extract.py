@@ -12,7 +12,11 @@ from medloom import lexicon, scale
 from medloom.functions.columns import bound, squeeze
 from medloom.functions.text import extract_date, extract_form, extract_number, extract_reason, extract_strength, split_combination, strip
 
+# Placeholders, and the patterns of numbered rows, combination lines, sentences and names.
 NO_ENTRIES, UNREADABLE = "[NO ENTRIES FOUND]", "[UNREADABLE PDF]"
+NUMBERED = r"(?m)^\s*(\d{1,4})\s*[.\)]\s*(.+)"
+COMBINED = r"(?m)^.*?\b\w+\s*\+\s*\w+.*$"
+SENTENCE, CAPITALISED = r"[.;\n]", r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b"
 
 
 def _without(text: Column, part: Column) -> Column:
@@ -43,21 +47,21 @@ def _entries(lines: Column, serial: bool) -> Column:
 
 def numbered_rows(text: Column) -> Column:
     """T1. array<entry> of the lines that begin with a number and . or )."""
-    lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^\s*(\d{1,4})\s*[.\)]\s*(.+)"), F.lit(2)), strip), lambda x: F.char_length(x) >= 3)
+    lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(2)), strip), lambda x: F.char_length(x) >= 3)
     return F.filter(_entries(lines, False), lambda e: e["generic_name"] != "")
 
 
 def combination_lines(text: Column) -> Column:
     """T2. array<entry> of the lines with a + between two words."""
-    lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^.*?\b\w+\s*\+\s*\w+.*$"), F.lit(0)), strip), lambda x: F.char_length(x) >= 5)
+    lines = F.filter(F.transform(F.regexp_extract_all(text, F.lit(COMBINED), F.lit(0)), strip), lambda x: F.char_length(x) >= 5)
     return F.filter(_entries(lines, True), lambda e: F.contains(e["generic_name"], F.lit("+")))
 
 
 def paragraph_names(text: Column) -> Column:
     """T3. array<entry> of the capitalised words of all sentences, but for plain ones."""
-    sentences = F.filter(F.transform(F.split(text, r"[.;\n]"), strip), lambda s: F.char_length(s) >= 10)
+    sentences = F.filter(F.transform(F.split(text, SENTENCE), strip), lambda s: F.char_length(s) >= 10)
     names = lambda s: F.filter(
-        F.regexp_extract_all(s, F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b"), F.lit(1)), lambda n: (F.char_length(n) >= 4) & ~n.isin(lexicon.PLAIN_CAPITALS)
+        F.regexp_extract_all(s, F.lit(CAPITALISED), F.lit(1)), lambda n: (F.char_length(n) >= 4) & ~n.isin(lexicon.PLAIN_CAPITALS)
     )
     each = F.transform(sentences, lambda s: F.struct(extract_form(s).alias("form"), extract_strength(s).alias("strength"), F.substring(s, 1, 500).alias("raw"), names(s).alias("names")))
     entry = lambda x, n: F.struct(n.alias("generic_name"), x["form"].alias("dosage_form"), x["strength"].alias("strength"), x["raw"].alias("raw_text"))

@@ -45,8 +45,7 @@ def _first_part(name: Column, terms: list[str]) -> Column:
 
 def _first_word(name: Column) -> Column:
     """The first office word of the list that the name holds as a whole word; one pattern decides whether to look for it."""
-    words = F.array(*[F.lit(w) for w in lexicon.OFFICE_WORDS])
-    return F.when(name.rlike(_OFFICE), F.get(F.filter(words, lambda w: F.regexp_like(name, F.concat(F.lit(r"\b"), w, F.lit(r"\b")))), F.lit(0)))
+    return F.when(name.rlike(_OFFICE), F.coalesce(*[F.when(name.rlike(rf"\b{w}\b"), F.lit(w)) for w in lexicon.OFFICE_WORDS]))
 
 
 def errors(name: Column, date: Column, as_of: Column) -> Column:
