@@ -29,6 +29,8 @@ from medloom.operators.units import UNITS, VOLUMES
 WINDOW, ITEM_WORDS, SHARE, DENSITY, LEAST = 5, 4_000_000, 1 / 3, 0.7, 7
 #: Meetings of a document's windows with items that are counted at once; a stock phrase of many items has many.
 MEETINGS = 1 << 20
+#: Words whose codes are kept from one document to the next.
+KEPT = 1 << 18
 #: Diagonals this far apart may belong to one stretch: words lost or added by layout move it.
 BAND = 8
 
@@ -38,13 +40,19 @@ NUMBER_WORDS = (
     "seventy eighty ninety hundred thousand first second third"
 ).split()
 
+_NUMBER_WORDS = frozenset(NUMBER_WORDS)
 _NAME, _NUMBER, _UNIT = 1, 2, 3
 _TAG = re.compile(r"<[^<>]*>")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
 _BROKEN = re.compile(r"(?<=\w)-[ \t\r]*\n[\s>|*#]*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MIDDLE = re.compile(r"(?<=[a-z,] )[A-Z][^\W_]*(?:-[A-Z][^\W_]*)*")
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
+_PRIME, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x51ED270B)
+#: An item's diagonals are numbered from here on, each item's in a range of its own; so many bands has the range.
+_ZERO, _DIAGONALS = 1 << 30, 1 << 40
+_BANDS = _DIAGONALS // BAND
+#: A code that no word has.
+_NO_WORD = np.iinfo(np.int64).min
 
 
 def plain_words(text: str) -> list[str]:
@@ -61,7 +69,37 @@ def plain_words(text: str) -> list[str]:
 
 
 def _number(word: str) -> bool:
-    return word[0].isdigit() or word in NUMBER_WORDS
+    return word[0].isdigit() or word in _NUMBER_WORDS
+
+
+class _Codes(dict):
+    """Code of every word seen so far: its place in the vocabulary, or a number of its own below zero, even for figures, odd for words."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        super().__init__()
+        self.vocabulary, self.own = vocabulary, 0
+
+    def __missing__(self, word: str) -> int:
+        code = self.vocabulary.get(word)
+        if code is None:
+            code = -2 * self.own - (2 if _number(word) else 3)
+            self.own += 1
+        self[word] = code
+        return code
+
+
+def _hashes(kind: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every window of ``width`` kinds of words."""
+    n = max(0, len(kind) - width + 1)
+    mixed, h = kind * (kind + _STEP), np.full(n, width, np.uint64)
+    for k in range(width):
+        h = h * _PRIME + mixed[k : k + n]
+    return h
+
+
+def _before(sizes: np.ndarray) -> np.ndarray:
+    """Sum of the sizes before each."""
+    return np.cumsum(sizes) - sizes
 
 
 class Index:
@@ -110,18 +148,14 @@ class Index:
         self.starts = np.r_[starts, len(order)]
         self.owner = (np.concatenate(owner) if owner else np.array([], np.int64))[order].astype(np.int64)
         self.at = (np.concatenate(at) if at else np.array([], np.int64))[order].astype(np.int64)
+        self.__dict__.pop("_known", None)  # executors make their own
 
     def encode(self, words: list[str]) -> np.ndarray:
         """Place of each word in the vocabulary; others get numbers of their own below zero, even ones for figures, odd ones for words."""
-        get = self.vocabulary.get
-        codes = [get(w, -1) for w in words]
-        if -1 in codes:
-            own: dict[str, int] = {}
-            for i, c in enumerate(codes):
-                if c < 0:
-                    w = words[i]
-                    codes[i] = own.setdefault(w, -2 * len(own) - (2 if _number(w) else 3))
-        return np.array(codes, dtype=np.int64)
+        known = self.__dict__.get("_known")
+        if known is None or len(known) > KEPT:
+            known = self._known = _Codes(self.vocabulary)
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def kinds(self, codes: np.ndarray) -> np.ndarray:
         unknown = np.where(codes % 2 == 0, np.uint64(_NUMBER), np.uint64(_NAME))
@@ -129,61 +163,97 @@ class Index:
 
     def windows(self, codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every window of ``width`` words, and how many of its words aren't placeholders."""
-        n = len(codes) - width + 1
-        if n <= 0:
-            return np.array([], np.uint64), np.array([], np.int64)
         kind = self.kinds(codes)
-        h, firm = np.full(n, width, np.uint64), np.zeros(n, np.int64)
-        for k in range(width):
-            part = kind[k : k + n]
-            h = h * _PRIME + part * (part + np.uint64(0x51ED270B))
-            firm += part > _UNIT
-        return h, firm
+        telling = np.concatenate([[0], np.cumsum(kind > _UNIT)])
+        return _hashes(kind, width), telling[width:] - telling[:-width]
 
     def find(self, text: str) -> list[tuple[int, float, float]]:
         """(item, share of its words in the longest stretch, part of its slots that are kept or consistently replaced)."""
         codes = self.encode(plain_words(text))
-        each = [self.windows(codes, w)[0] for w in self.widths]
-        h, where = np.concatenate([np.array([], np.uint64), *each]), np.concatenate([np.array([], np.int64), *[np.arange(len(x)) for x in each]])
-        if not len(h) or not len(self.hashes):
+        if not len(codes) or not len(self.hashes):
             return []
+        kind = self.kinds(codes)
+        each = [_hashes(kind, w) for w in self.widths]
+        h, where = np.concatenate(each), np.concatenate([np.arange(len(x)) for x in each])
         place = np.searchsorted(self.hashes, h)
         place[place == len(self.hashes)] = 0
-        met = self.hashes[place] == h
-        place, at = place[met], where[met]
-        if not len(place):
+        met = np.flatnonzero(self.hashes[place] == h)
+        if not len(met):
             return []
-        cells, counts = self._cells(place, at)
-        both = counts + np.r_[np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0), 0]
-        enough = cells[both >= self.enough[cells >> 40]]
         found: dict[int, tuple[float, float]] = {}
-        if len(enough):
-            order = np.argsort(h, kind="stable")
-            h, where = h[order], where[order]
-        for c in enough:
-            n = int(c >> 40)
-            grams, own = self.grams[n]
-            low, high = np.searchsorted(h, grams, "left"), np.searchsorted(h, grams, "right")
-            shift = where[np.repeat(low - np.r_[0, np.cumsum(high - low)[:-1]], high - low) + np.arange((high - low).sum())] - np.repeat(own, high - low)
-            band = (shift + (1 << 30)) // BAND - (c & ((1 << 40) - 1))
-            result = self._stretch(n, codes, np.unique(shift[(band == 0) | (band == 1)]))
+        for n, shifts in self._dense(codes, self._candidates(place[met], where[met], h, where)):
+            result = self._stretch(n, codes, shifts)
             if result and result > found.get(n, (0, 0)):
                 found[n] = result
         return [(int(self.ids[n]), share, slots) for n, (share, slots) in found.items()]
 
+    def _candidates(self, place: np.ndarray, at: np.ndarray, h: np.ndarray, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Items that the document's windows meet often enough on a band of diagonals and the next, and these diagonals."""
+        many = self.starts[place + 1] - self.starts[place]
+        if many.sum() > MEETINGS:  # only the cells are held, diagonals are looked up again
+            cells, counts = self._cells(place, at)
+            order = np.argsort(h, kind="stable")
+            h, where = h[order], where[order]
+        else:
+            diagonals, each = np.unique(self._meetings(place, at, many), return_counts=True)
+            cells = diagonals // BAND
+            first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+            cells, counts, ends = cells[first], np.add.reduceat(each, first), np.append(first[1:], len(each))
+            order = None
+        both = counts.copy()
+        beside = np.flatnonzero(cells[1:] == cells[:-1] + 1)
+        both[beside] += counts[beside + 1]
+        for k in np.flatnonzero(both >= self.enough[cells // _BANDS]):
+            n = int(cells[k] // _BANDS)
+            if order is None:
+                next_ = k + 1 < len(cells) and cells[k + 1] == cells[k] + 1
+                yield n, diagonals[first[k] : ends[k + 1 if next_ else k]] - (n * _DIAGONALS + _ZERO)
+            else:
+                grams, own = self.grams[n]
+                low, high = np.searchsorted(h, grams, "left"), np.searchsorted(h, grams, "right")
+                shift = where[np.repeat(low - _before(high - low), high - low) + np.arange((high - low).sum())] - np.repeat(own, high - low)
+                band = (n * _DIAGONALS + shift + _ZERO) // BAND - cells[k]
+                yield n, np.unique(shift[(band == 0) | (band == 1)])
+
+    def _meetings(self, place: np.ndarray, at: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Item and diagonal, as one number, of every meeting of the document's windows with windows of items."""
+        post = np.repeat(self.starts[place] - _before(many), many) + np.arange(many.sum())
+        return self.owner[post] * _DIAGONALS + (np.repeat(at, many) - self.at[post] + _ZERO)
+
     def _cells(self, place: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cells (item and band of diagonals) that the document's windows meet, in order, and how often; MEETINGS at a time."""
-        first, many = self.starts[place], self.starts[place + 1] - self.starts[place]
+        many = self.starts[place + 1] - self.starts[place]
         cuts = np.flatnonzero(np.diff(np.cumsum(many) // MEETINGS)) + 1
-        cells, counts = [], []
-        for f, m, a in zip(np.split(first, cuts), np.split(many, cuts), np.split(at, cuts)):
-            post = np.repeat(f - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())
-            c, k = np.unique(self.owner[post] * (1 << 40) + (np.repeat(a, m) - self.at[post] + (1 << 30)) // BAND, return_counts=True)
-            cells.append(c), counts.append(k)
-        if len(cells) == 1:
-            return cells[0], counts[0]
-        every, back = np.unique(np.concatenate(cells), return_inverse=True)
-        return every, np.bincount(back, np.concatenate(counts)).astype(np.int64)
+        parts = [np.unique(self._meetings(p, a, m) // BAND, return_counts=True) for p, a, m in zip(np.split(place, cuts), np.split(at, cuts), np.split(many, cuts))]
+        every, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        return every, np.bincount(back, np.concatenate([k for _, k in parts])).astype(np.int64)
+
+    def _dense(self, codes: np.ndarray, candidates: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+        """Candidates of which enough words are equal on some diagonal for a stretch to be long and dense enough; many compared at once."""
+        held, words = [], 0
+        for n, shifts in candidates:
+            held.append((n, shifts))
+            words += len(self.codes[n]) * len(shifts)
+            if words > MEETINGS:
+                yield from self._compare(codes, held)
+                held, words = [], 0
+        if held:
+            yield from self._compare(codes, held)
+
+    def _compare(self, codes: np.ndarray, held: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+        items, shifts = [self.codes[n] for n, _ in held], np.concatenate([s for _, s in held])
+        sizes, each = np.array([len(c) for c in items]), np.array([len(s) for _, s in held])
+        begin = _before(sizes)
+        # a row for every word of an item on every diagonal of its candidate
+        long = np.repeat(sizes, each)
+        inside = np.arange(long.sum()) - np.repeat(_before(long), long)
+        word = np.repeat(np.repeat(begin, each), long) + inside
+        there = inside + np.repeat(shifts, long)
+        there[(there < 0) | (there >= len(codes))] = len(codes)
+        same = np.zeros(sizes.sum(), bool)
+        same[word[np.append(codes, _NO_WORD)[there] == np.concatenate(items)[word]]] = True
+        enough = np.add.reduceat(same, begin, dtype=np.int64) >= DENSITY * self.need[[n for n, _ in held]]
+        return (held[k] for k in np.flatnonzero(enough))
 
     def _stretch(self, n: int, codes: np.ndarray, shifts: np.ndarray) -> tuple[float, float] | None:
         item, size = self.codes[n], len(codes)

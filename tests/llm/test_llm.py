@@ -403,6 +403,24 @@ def test_leaks_of_stock_phrases(monkeypatch):
     assert sorted(leakage.Index(items).find(text)) == whole and [r[0] for r in whole] == [7]
 
 
+def test_leaks_weigh_dense_candidates_only(monkeypatch):
+    rng = random.Random(5)
+    passage = lambda rng, n: [rng.choice(VOCABULARY) + rng.choice(VOCABULARY) for _ in range(n)]
+    stock = passage(rng, 12)
+    items = [(i, " ".join(stock + passage(rng, 40))) for i in range(60)]
+    index, weighed = leakage.Index(items), []
+    assert "_known" not in vars(index)  # broadcast: executors make their own
+    stretch = leakage.Index._stretch
+    monkeypatch.setattr(leakage.Index, "_stretch", lambda self, n, codes, shifts: weighed.append(n) or stretch(self, n, codes, shifts))
+    texts = [" ".join(passage(rng, 30) + stock + items[k][1].split()[:size] + ["unseen", "17"] + stock) for k, size in ((7, 52), (9, 30), (11, 12), (13, 45))]
+    found = [sorted(index.find(t)) for t in texts]
+    assert [[r[0] for r in f] for f in found] == [[7], [9], [], [13]] and len(weighed) < 10  # of 720 that share the stock phrase, which is too short
+    monkeypatch.setattr(leakage, "MEETINGS", 50)
+    assert [sorted(index.find(t)) for t in texts] == found
+    monkeypatch.setattr(leakage, "KEPT", 0)
+    assert [sorted(index.find(t)) for t in texts] == found
+
+
 def test_leaks_in_long_tags():
     text = " ".join(passage(random.Random(1), 40))
     assert leakage.Index([(1, text)]).find(text.replace(" ", " <a href='" + "x" * 900 + "'> ", 20))[0][1] == 1.0
