@@ -154,6 +154,18 @@ def test_lookup_join_ways_agree(spark):
         assert small == large and small
 
 
+def test_lookup_tables_are_measured_as_broadcast(spark):
+    numbers = scale.materialize(spark.range(530_000).select(F.xxhash64("id").alias("key")))
+    assert scale.relation_size(numbers, ["key"]) == 50_331_648  # the data size that Spark reports once it is broadcast
+    assert scale.relation_size(numbers.limit(0), ["key"]) == 0
+    named = scale.materialize(spark.range(1_000).select(F.col("id").cast("string").alias("name"), F.lit(None).cast("array<string>").alias("x")))
+    assert 16 * 2_048 + 1_000 * (16 + 24 + 16) < scale.relation_size(named, ["name"]) < 200_000
+    joined = lambda rows, limit: scale.lookup_join(rows, numbers, ["key"], "left_semi", limit=limit)
+    rows = spark.range(0, 1_000_000, 1_000).select(F.xxhash64("id").alias("key"))
+    assert "__salt" in joined(rows, scale.BROADCAST_BYTES)._jdf.queryExecution().toString()  # 5 MB of numbers, 50 MB of table
+    assert [joined(rows, n).count() for n in (scale.BROADCAST_BYTES, 1 << 30)] == [530, 530]
+
+
 def test_offsets_are_running_sums(spark):
     rows = [("a" if i % 3 else "b", i, i % 5) for i in range(500)]
     got = scale.with_offsets(spark.createDataFrame(rows, "g string, i long, n long"), ["g"], ["i"], F.col("n"), bucket=F.floor(F.col("i") / 50)).collect()
